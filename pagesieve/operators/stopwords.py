@@ -26,8 +26,8 @@ def drop_stop_words(
     stop_words = stop_words.where(F.length("word") > 0)
     if stop_words.limit(in_row_words + 1).count() <= in_row_words:
         listed = stop_words.agg(F.collect_set("word")).scalar()
-        kept = {name: without(F.col(name), listed) for name in columns}
-        return df.withColumns(kept)
+        kept = {name: without(F.col(name), F.col("_listed")) for name in columns}
+        return df.withColumn("_listed", listed).withColumns(kept).drop("_listed")
     for name in columns:
         df = _drop_by_join(df, key, name, stop_words)
     return df

@@ -60,7 +60,7 @@ ids AS (
 
 def _padded(name: str, length: int) -> str:
     zeros = ", ".join(["0"] * length)
-    return f"array_to_string(list_slice(list_concat(coalesce({name}, []), [{zeros}]), 1, {length}), ',') AS {name}"
+    return f"array_to_string(list_slice(list_concat(coalesce({name}, []), [{zeros}]), 1, {length}), ',') AS {name.split('.')[-1]}"
 
 
 # Pages and their fields
@@ -178,7 +178,7 @@ ORACLES = {
         SELECT word, id, unnest(range(len(embedding))) AS pos, round(unnest(embedding)::DOUBLE, 6) AS value
         FROM named""",
     "encode_pad": f"""WITH {ENCODED}
-        SELECT doc_id, {_padded("text", 20)}, {_padded("meta", 80)} FROM docs LEFT JOIN ids USING (doc_id)""",
+        SELECT doc_id, {_padded("ids.text", 20)}, {_padded("ids.meta", 80)} FROM docs LEFT JOIN ids USING (doc_id)""",
     "ngram_features": f"""WITH {TOP}, {TAGS},
         runs AS (
           SELECT doc_id, size, tag_words, unnest(range(len(tag_words) - size + 1)) AS place

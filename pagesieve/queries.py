@@ -215,9 +215,9 @@ def tfidf_known(spark, folder):
     return top_words(words, "doc_id", "words", known)
 
 
-def as_features(table: DataFrame) -> DataFrame:
+def as_features(table: DataFrame, *others: str) -> DataFrame:
     names = {"title": "source", "keywords": "lang", "description": "text", "corpus": "text"}
-    return table.select("doc_id", *(F.col(column).alias(name) for name, column in names.items()))
+    return table.select("doc_id", *others, *(F.col(column).alias(name) for name, column in names.items()))
 
 
 def clean_query(spark, folder):
@@ -375,11 +375,8 @@ def csv_roundtrip(spark, folder):
 
 def train_classifier(spark, folder):
     """Train, save, load, and evaluate on the rows held out."""
-    table = classified(spark, folder)
-    prepared = clean_text(
-        as_features(table).join(table.select("doc_id", "label", "class"), "doc_id"),
-        "doc_id", stop_list(spark), PLAIN,
-    )
+    table = as_features(classified(spark, folder), "label", "class")
+    prepared = clean_text(table, "doc_id", stop_list(spark), PLAIN)
     prepared = stored(prepared.select("doc_id", "tag_words", "meta_words", "label", "class"), "prepared")
     params = TrainingParams(l2_reg_lambda=0.01, num_epochs=20, num_features=1 << 14)
     columns = ["doc_id", "tag_words", "meta_words"]

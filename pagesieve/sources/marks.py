@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -10,12 +9,8 @@ from pagesieve.schemas import MARKS
 
 
 def _latest(spark: SparkSession, path: str) -> tuple[int, int]:
-    try:
-        marks = spark.read.schema(MARKS).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return -1, 0
+    spark.createDataFrame([], MARKS).write.mode("ignore").parquet(path)  # at first there is none
+    marks = spark.read.schema(MARKS).parquet(path)
     row = marks.orderBy(F.desc("seq"), F.desc("offset_value")).first()
     return (row["seq"], row["offset_value"]) if row else (-1, 0)
 
