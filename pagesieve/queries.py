@@ -21,8 +21,6 @@ from pagesieve.functions.text import (
     keep_characters,
     letter_words,
     merge_meta,
-    ngrams,
-    parse_ints,
     replace_aliases,
     restore_aliases,
 )
@@ -30,6 +28,7 @@ from pagesieve.operators.clean import Cleaning, clean_text, joined_text, letter_
 from pagesieve.operators.encode import encode
 from pagesieve.operators.features import join_features, page_features
 from pagesieve.operators.metrics import evaluate
+from pagesieve.operators.ngrams import runs_of
 from pagesieve.operators.pooling import pool_vectors, rounded
 from pagesieve.operators.segment import segment
 from pagesieve.operators.stopwords import drop_stop_words
@@ -286,12 +285,7 @@ def encode_pad(spark, folder):
 
 def ngram_features(spark, folder):
     tags = word_lists(top_words(words_of(spark, folder), "doc_id", "words"), "doc_id")
-    sizes = parse_ints(F.lit("1,2,3"))
-    runs = [
-        tags.select("doc_id", F.lit(size).alias("size"), F.posexplode(ngrams(F.col("words"), size)).alias("place", "gram"))
-        for size in spark.range(1).select(sizes.alias("sizes")).first()["sizes"]
-    ]
-    return runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return runs_of(tags, "doc_id", "words", TrainingParams().filter_sizes)
 
 
 def embedding_pool(spark, folder):
@@ -467,8 +461,9 @@ def archive_positives(spark, folder):
     """Positives' snapshots moved into their day's partition, read back."""
     rows = page_rows(spark, folder)
     path = new_folder(spark, "archive")
+    positives = stored(positive_pages(rows).select("offset", "file_path"), "positives")
     snapshots = rows.select("file_path", "html")
-    results.write_archive(results.archived(positive_pages(rows), snapshots, ROOT, day(), "offset"), path)
+    results.write_archive(results.archived(positives, snapshots, ROOT, day(), "offset"), path)
     back = spark.read.option("basePath", path).parquet(path)
     return back.select(
         "offset", "dst", F.date_format("dt", "yyyy-MM-dd").alias("dt"),

@@ -9,29 +9,34 @@ from pagesieve.schemas import MARKS
 
 
 def _latest(spark: SparkSession, path: str) -> tuple[int, int]:
-    spark.createDataFrame([], MARKS).write.mode("ignore").parquet(path)  # at first there is none
+    nothing = spark.range(0).select(*(F.lit(0).cast("long").alias(name) for name in MARKS.names))
+    nothing.write.mode("ignore").parquet(path)  # only where there is no folder yet
     marks = spark.read.schema(MARKS).parquet(path)
     row = marks.orderBy(F.desc("seq"), F.desc("offset_value")).first()
     return (row["seq"], row["offset_value"]) if row else (-1, 0)
 
 
+def _append(spark: SparkSession, path: str, seq: int, offset: int) -> None:
+    row = spark.range(1).select(
+        F.lit(seq).cast("long").alias("seq"), F.lit(offset).cast("long").alias("offset_value")
+    )
+    row.coalesce(1).write.mode("append").parquet(path)
+
+
 def read_mark(spark: SparkSession, path: str) -> int:
     """The offset below or at which everything has been handled; 0 at first."""
     return _latest(spark, path)[1]
 
 
 def write_mark(spark: SparkSession, path: str, offset: int) -> None:
-    seq = _latest(spark, path)[0] + 1
-    row = spark.range(1).select(
-        F.lit(seq).cast("long").alias("seq"), F.lit(offset).cast("long").alias("offset_value")
-    )
-    row.write.mode("append").parquet(path)
+    _append(spark, path, _latest(spark, path)[0] + 1, offset)
 
 
 def advance_mark(spark: SparkSession, path: str, offset: int) -> None:
     """Move the mark forward; never back, so that a repeated batch does no harm."""
-    if offset > read_mark(spark, path):
-        write_mark(spark, path, offset)
+    seq, reached = _latest(spark, path)
+    if offset > reached:
+        _append(spark, path, seq + 1, offset)
 
 
 def reset_mark(spark: SparkSession, path: str) -> None:
