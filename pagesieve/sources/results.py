@@ -37,7 +37,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """The columns of ``schema``; name ``batch_id`` in it to see the batches."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def append_database(rows: DataFrame, table: str, options: Mapping[str, str]) -> None:
