@@ -170,7 +170,8 @@ def page_fields(
         rows = [[found.get(name) for name in names] for found in parsed]
         return pd.DataFrame(rows, columns=names, dtype=object)
 
-    return fields(html)
+    # A filter on a field must not be pushed below the parse, which would then run twice.
+    return fields.asNondeterministic()(html)
 
 
 def page_title(html: Column) -> Column:

@@ -16,6 +16,8 @@ from pagesieve.functions.paths import archive_path, drop_first_slash
 from pagesieve.functions.scores import chosen_class, chosen_probability, linear_probabilities
 from pagesieve.operators.clean import Cleaning, clean_text
 from pagesieve.operators.features import join_features, page_features
+from pagesieve.sources.pages import sample_rows
+from pagesieve.sources.results import write_scores_csv
 
 Scorer = Callable[[DataFrame], DataFrame]
 Predictor = Callable[[pd.DataFrame], np.ndarray]
@@ -55,7 +57,9 @@ def batch_scorer(load_predictor: Callable[[], Predictor], inputs: list[str]) ->
         for batch in batches:
             yield pd.Series(list(np.asarray(predict(batch), dtype="float64")))
 
-    return lambda df: _with_classes(df, probabilities(F.struct(*inputs)))
+    # The filter on the class must not be pushed below the model, which would then run twice.
+    once = probabilities.asNondeterministic()
+    return lambda df: _with_classes(df, once(F.struct(*inputs)))
 
 
 def decode(scored: DataFrame) -> DataFrame:
@@ -132,3 +136,20 @@ def score_pages(
     features = page_features(snapshots, keep=how.keep or r"\s\S", aliases=how.aliases)
     data = join_features(rows, features, "offset")
     return cascade(clean_text(data, "offset", stop_words, how, frequencies), main, sub)
+
+
+def score_sample(
+    table: DataFrame,
+    which: str,
+    key: str,
+    how: Cleaning,
+    stop_words: DataFrame,
+    model: Scorer,
+    path: str,
+    n: int = 100,
+) -> None:
+    """Score the first ``n`` rows of one class of a prepared table and write the scores as CSV."""
+    columns = [key, "title", "keywords", "description", "corpus"]
+    sample = sample_rows(table, which, columns, key, n)
+    scored = decode(model(clean_text(sample, key, stop_words, how)))
+    write_scores_csv(scored.select(key, "probability", "classes"), path)

@@ -129,9 +129,7 @@ def sample_limit(spark, folder):
 
 
 def shuffle_order(spark, folder):
-    drawn = F.md5(F.concat(F.lit("7-"), F.col("doc_id").cast("string")))
-    table = read_table(spark, folder, "documents").select("doc_id", drawn.alias("drawn"))
-    return table.orderBy("drawn", "doc_id")
+    return pages.shuffled_rows(read_table(spark, folder, "documents").select("doc_id"), "doc_id", 7)
 
 
 # -- pages

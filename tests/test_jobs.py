@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesieve.operators.clean import Cleaning, dictionary_splitter
+from pagesieve.operators.features import page_features
 from pagesieve.plans import maintenance, scoring, training
 from pagesieve.schemas import RESULT
 from pagesieve.session import new_folder
@@ -147,6 +148,26 @@ def test_training_with_vectors(spark):
     assert scoring.pipeline_scorer(model)(df).where("classes = label").count() == 20
 
 
+def test_filters_do_not_repeat_python(spark):
+    model = scoring.batch_scorer(lambda: lambda batch: np.zeros((len(batch), 2)), ["x"])
+    df = page_features(spark.createDataFrame([("<p>", 1.0)], "html string, x double"))
+    plan = scoring.cascade(df, model, model).where("title is not null")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("ArrowEvalPython") == 3
+
+
+def test_scored_sample(spark, tmp_path):
+    rows = [(at, "网贷", "", "", "理财", "trainset" if at else "testset") for at in range(4)]
+    names = ("title", "keywords", "description", "corpus", "class")
+    table = spark.createDataFrame(rows, "id long, " + ", ".join(f"{name} string" for name in names))
+    dictionary = spark.createDataFrame([("网贷", 9)], "word string, freq long")
+    how, stop = Cleaning(dictionary_splitter(dictionary)), spark.createDataFrame([("首页",)], "word string")
+    model = scoring.linear_scorer({"id": 1.0}, -1.5)
+    scoring.score_sample(table, "trainset", "id", how, stop, model, str(tmp_path / "scores"), 2)
+    back = spark.read.csv(str(tmp_path / "scores"), header=True, inferSchema=True).orderBy("id").collect()
+    assert [(row["id"], row["classes"]) for row in back] == [(1, 0), (2, 1)]
+
+
 # -- incremental
 
 
