@@ -9,8 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from html import unescape
-from html.entities import html5
+from html import entities, unescape
 from html.parser import HTMLParser
 from typing import NamedTuple
 
@@ -122,7 +121,7 @@ class _FieldParser(HTMLParser):
             self._text.append(data)
 
     def handle_entityref(self, name):
-        self.handle_data(html5.get(f"{name};", f"&{name}"))
+        self.handle_data(entities.html5.get(f"{name};", f"&{name}"))
 
     def handle_charref(self, name):
         self.handle_data(unescape(f"&#{name};"))

@@ -64,6 +64,7 @@ def clean_text(
     stop_words: DataFrame,
     how: Cleaning,
     frequencies: DataFrame | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Add ``tag_words`` and ``meta_words`` (arrays) to rows with title, keywords, description
     and corpus; ``key`` must be unique.
@@ -71,6 +72,7 @@ def clean_text(
     The body is cut to its top words first and loses stop words after that, so fewer may remain.
     The meta text is empty if any of its parts is NULL, and keeps all its words in order.
     ``frequencies`` fix the ranking from outside; without them the rows themselves give it.
+    ``n_rows`` is their number, where it is known.
     """
 
     def prepared(text, aliased):
@@ -87,7 +89,7 @@ def clean_text(
         key,
         F.filter("body_words", lambda word: F.length(word) >= how.min_tag_length).alias("body_words"),
     )
-    ranked = top_words(body, key, "body_words", frequencies, how.topn)
+    ranked = top_words(body, key, "body_words", frequencies, how.topn, n_rows)
     tags = word_lists(ranked, key, "rank", "tag_words")
     joined = rows.join(tags, key, "left").withColumn(
         "tag_words", F.coalesce("tag_words", F.array().cast("array<string>"))

@@ -42,18 +42,22 @@ def skew_join(
     histogram: DataFrame | None = None,
     rows: str = "key_rows",
     piece_rows: int = PIECE_ROWS,
+    most: int | None = None,
 ) -> DataFrame:
     """Join on ``key``, with the heavy keys of the left side spread over several partitions.
 
     Left rows of a heavy key take one of its salts, chosen by a hash of ``spread`` (columns that
     differ between such rows; a hash, so that a recomputed task picks the same salt). Right rows
     of a heavy key are repeated once per salt. ``histogram`` gives ``key, rows`` where counts are
-    already known; keys it misjudges still join exactly.
+    already known; keys it misjudges still join exactly. Where the caller knows that no key can
+    have more than ``most`` rows, and that is one piece, the join is a plain one.
 
     The marked keys carry a hard limit that Spark's size estimate sees, so it broadcasts them;
     how to run the join itself it decides by the sizes it measures. Use ``left`` or
     ``left_anti``: neither lets Spark build a hash table of the large side.
     """
+    if most is not None and most <= piece_rows:
+        return left.join(right, key, how)
     if histogram is None:
         histogram = key_histogram(left, key)
     heavy = heavy_keys(histogram, key, rows, piece_rows)

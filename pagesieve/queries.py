@@ -25,7 +25,7 @@ from pagesieve.functions.text import (
     restore_aliases,
 )
 from pagesieve.operators.clean import Cleaning, clean_text, joined_text, letter_splitter
-from pagesieve.operators.encode import encode
+from pagesieve.operators.encode import BODY_LENGTH, META_LENGTH, encode
 from pagesieve.operators.features import join_features, page_features
 from pagesieve.operators.metrics import evaluate
 from pagesieve.operators.ngrams import runs_of
@@ -83,6 +83,11 @@ def web_pages(spark: SparkSession, folder: str) -> DataFrame:
     return balanced(read_table(spark, folder, "pages"), "page_id")
 
 
+def n_documents(spark: SparkSession, folder: str) -> int:
+    """Their number, from the files' footers."""
+    return read_table(spark, folder, "documents").count()
+
+
 def words_of(spark: SparkSession, folder: str) -> DataFrame:
     return documents(spark, folder, "text").select("doc_id", letter_words(F.col("text")).alias("words"))
 
@@ -201,7 +206,8 @@ def stopword_join(spark, folder):
 
 
 def tfidf_topk(spark, folder):
-    return top_words(words_of(spark, folder), "doc_id", "words")
+    n_texts = n_documents(spark, folder)
+    return top_words(words_of(spark, folder), "doc_id", "words", n_texts=n_texts)
 
 
 def tfidf_known(spark, folder):
@@ -209,7 +215,7 @@ def tfidf_known(spark, folder):
     words = words_of(spark, folder)
     labelled = read_table(spark, folder, "labels").select("doc_id")
     known = document_frequencies(words.join(labelled, "doc_id", "left_semi"), "words")
-    return top_words(words, "doc_id", "words", known)
+    return top_words(words, "doc_id", "words", known, n_texts=n_documents(spark, folder))
 
 
 def as_features(table: DataFrame, *others: str) -> DataFrame:
@@ -219,7 +225,8 @@ def as_features(table: DataFrame, *others: str) -> DataFrame:
 
 def clean_query(spark, folder):
     table = as_features(documents(spark, folder, "text", "source", "lang"))
-    cleaned = clean_text(table, "doc_id", stop_list(spark), PLAIN)
+    n_rows = n_documents(spark, folder)
+    cleaned = clean_text(table, "doc_id", stop_list(spark), PLAIN, n_rows=n_rows)
     return joined_text(cleaned, ()).select("doc_id", "tag_words", "meta_words")
 
 
@@ -270,10 +277,11 @@ def word_vectors(spark, folder):
 
 
 def encoded(spark, folder, vocabulary):
-    words = words_of(spark, folder)
-    tags = word_lists(top_words(words, "doc_id", "words"), "doc_id", "rank", "tag_words")
+    words, n_texts = words_of(spark, folder), n_documents(spark, folder)
+    ranked = top_words(words, "doc_id", "words", n_texts=n_texts)
+    tags = word_lists(ranked, "doc_id", "rank", "tag_words")
     both = words.withColumnRenamed("words", "meta_words").join(tags, "doc_id", "left")
-    return encode(both, "doc_id", vocabulary)
+    return encode(both, "doc_id", vocabulary, n_rows=n_texts)
 
 
 def encode_pad(spark, folder):
@@ -282,7 +290,7 @@ def encode_pad(spark, folder):
 
 
 def ngram_features(spark, folder):
-    tags = word_lists(top_words(words_of(spark, folder), "doc_id", "words"), "doc_id")
+    tags = word_lists(tfidf_topk(spark, folder), "doc_id")
     return runs_of(tags, "doc_id", "words", TrainingParams().filter_sizes)
 
 
@@ -291,7 +299,13 @@ def embedding_pool(spark, folder):
     ids = encoded(spark, folder, vocabulary)
     every = ids.select("doc_id", F.concat("text", "meta").alias("ids"))
     pooled = pool_vectors(
-        every, "doc_id", "ids", embeddings(spark, folder), vocabulary.select("id", "freq"), "freq"
+        every,
+        "doc_id",
+        "ids",
+        embeddings(spark, folder),
+        vocabulary.select("id", "freq"),
+        "freq",
+        most=n_documents(spark, folder) * (BODY_LENGTH + META_LENGTH),
     )
     from pyspark.ml.functions import vector_to_array
 
@@ -368,7 +382,7 @@ def csv_roundtrip(spark, folder):
 def train_classifier(spark, folder):
     """Train, save, load, and evaluate on the rows held out."""
     table = as_features(classified(spark, folder), "label", "class")
-    prepared = clean_text(table, "doc_id", stop_list(spark), PLAIN)
+    prepared = clean_text(table, "doc_id", stop_list(spark), PLAIN, n_rows=table.count())
     prepared = stored(prepared.select("doc_id", "tag_words", "meta_words", "label", "class"), "prepared")
     params = TrainingParams(l2_reg_lambda=0.01, num_epochs=20, num_features=1 << 14)
     columns = ["doc_id", "tag_words", "meta_words"]
