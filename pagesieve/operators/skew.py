@@ -52,15 +52,16 @@ def skew_join(
     already known; keys it misjudges still join exactly. Where the caller knows that no key can
     have more than ``most`` rows, and that is one piece, the join is a plain one.
 
-    The marked keys carry a hard limit that Spark's size estimate sees, so it broadcasts them;
-    how to run the join itself it decides by the sizes it measures. Use ``left`` or
-    ``left_anti``: neither lets Spark build a hash table of the large side.
+    The marked keys are broadcast: there are at most MARKED_KEYS of them, and since each occurs
+    over ``piece_rows`` times, their text is under that part of the data. How to run the join
+    itself Spark decides by the sizes it measures. Use ``left`` or ``left_anti``: neither lets it
+    build a hash table of the large side.
     """
     if most is not None and most <= piece_rows:
         return left.join(right, key, how)
     if histogram is None:
         histogram = key_histogram(left, key)
-    heavy = heavy_keys(histogram, key, rows, piece_rows)
+    heavy = F.broadcast(heavy_keys(histogram, key, rows, piece_rows))
     salts = F.when(F.col(key).isNull(), NULL_SALTS).otherwise(F.coalesce("salts", F.lit(1)))
     salt = F.pmod(F.xxhash64(*spread), salts).cast("int")
     salted = left.join(heavy, key, "left").withColumn("salt", salt).drop("salts")

@@ -250,5 +250,7 @@ def test_metrics(spark, tmp_path):
     assert row["loss"] == pytest.approx(-sum(map(math.log, (0.8, 0.4, 0.3, 0.9))) / 4)
     none = evaluate(df.withColumn("classes", F.lit(0))).first()
     assert (none["precision"], none["recall"]) == (0.0, 0.0)
+    sure = evaluate(df.withColumn("probabilities", F.expr("array(1.0D, 0.0D)"))).first()
+    assert sure["loss"] > 300  # half of the rows are wrong for certain
     write_metrics(evaluate(df), str(tmp_path / "metrics"))
     assert spark.read.json(str(tmp_path / "metrics")).first()["accuracy"] == 0.5
