@@ -4,7 +4,9 @@ import duckdb
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from pagesieve.oracles import ORACLES
+from pagesieve.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"segment_text", "train_classifier"}
@@ -23,11 +25,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     outcome, _ = check.compare(spark, db, name, FOLDER)
     assert outcome.startswith("same") or name in WITHOUT_SQL, outcome
