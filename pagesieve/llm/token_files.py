@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesieve.llm.bpe import Codec, read_ranks
-from pagesieve.llm.common import as_bytes, new_file, open_store, small_batches
+from pagesieve.llm.common import as_bytes, new_file, open_store, shuffle_partitions, small_batches
 from pagesieve.session import new_folder, shared_folder, stored
 
 #: Bytes after which a task begins its next file; tokens of a block; blocks scanned together.
@@ -108,7 +108,8 @@ def scan_blocks(blocks: DataFrame, separator: int) -> DataFrame:
                     [pa.array(x, pa.string() if x == [name] else pa.int64()) for x in columns] + [pa.array([np.diff(at) - 1], pa.list_(pa.int32()))], report.names
                 )
 
-    return blocks.repartition("file", "block").mapInArrow(scan, report)
+    # A given number of partitions: the rows are small, the blocks are not, and one task must not get all.
+    return blocks.repartition(shuffle_partitions(blocks.sparkSession), "file", "block").mapInArrow(scan, report)
 
 
 def stitched(reports: DataFrame, group: int = GROUP_BLOCKS) -> DataFrame:

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesieve.llm.common import new_file, open_store, small_batches
-from pagesieve.session import new_folder, stored
+from pagesieve.llm.common import new_file, open_store, shuffle_partitions, small_batches
+from pagesieve.session import new_folder, shared_folder, stored
 
 #: Magic of the skippable frame that holds a dictionary, of a frame, and of a trained dictionary.
 SKIPPABLE, FRAME, DICTIONARY = 0x184D2A5D, 0xFD2FB528, 0xEC30A437
@@ -268,6 +268,7 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """
     spark = archives.sparkSession
     small_batches(spark)
+    root = shared_folder(spark)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.string()]
@@ -275,7 +276,7 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
         for batch in batches:
             for path in batch.column("archive").to_pylist():
                 rows, size = [], 0
-                with open_store(folder_of[0]).open_input_stream(path) as source:
+                with open_store(root).open_input_stream(path) as source:
                     for data in read_frames(source):
                         row = decode_record(data, path)
                         rows.append(row if with_payload else (*row[:7], None, path))
@@ -286,14 +287,8 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield pack(rows)
 
-    folder_of = [_root(spark)]
-    return archives.select("archive").repartition("archive").mapInArrow(read, RECORD)
-
-
-def _root(spark) -> str:
-    from pagesieve.session import shared_folder
-
-    return shared_folder(spark)
+    # A given number of partitions: the list is short, the files are not, and one task must not get all.
+    return archives.select("archive").repartition(shuffle_partitions(spark), "archive").mapInArrow(read, RECORD)
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
