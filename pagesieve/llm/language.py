@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +23,10 @@ from pagesieve.llm.common import as_bytes, filtered, mapped, small_batches
 SAMPLE_TEXTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES, MOST_LANGUAGES = 400, 2000, 96 << 10, 400
 #: Bytes compressed at a time: so short that the dictionary matters more than the text before.
 BLOCK_BYTES = 4096
+#: Compression level; texts of fewer bytes are searched for shorter matches, which takes longer.
+LEVEL, SHORT_BYTES = 6, 256
 #: Least margin, of the second smallest size, at which a text is not rejected.
-MARGIN = 0.01
+MARGIN = 0.005
 #: Margin at which the score is 1 - 1/e.
 SCALE = 0.05
 UNKNOWN = "und"
@@ -42,59 +44,63 @@ FIELDS = [
 
 
 def letters_of(text: bytes | None) -> bytes | None:
-    """The text's words in lower case, joined by blanks; None if it has no letter."""
+    """The text's words in lower case, closed by blanks; None if it has no letter."""
     if not text:
         return None
     plain = text.decode("utf-8", "replace")
     if not LETTER.search(plain):
         return None
-    return b" ".join(plain.lower().encode().translate(LETTER_BYTES).split()) or None
+    words = plain.lower().encode().translate(LETTER_BYTES).split()
+    return b" " + b" ".join(words) + b" " if words else None
 
 
 def learn_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
     """A dictionary's content per language, from the rows with a language and letters.
 
     ``SAMPLE_TEXTS`` texts of a language, those whose keys hash lowest, give their first
-    ``SAMPLE_CHARACTERS`` each, up to ``DICTIONARY_BYTES``. No rows give no languages.
+    ``SAMPLE_CHARACTERS`` each, up to ``DICTIONARY_BYTES``. The languages come in the order of
+    their rows, most first. No rows give no languages.
     """
     drawn = (
         labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
         .select(F.col(lang).cast("string").alias("lang"), F.substring(text, 1, SAMPLE_CHARACTERS).alias("text"), F.xxhash64(F.lit(17), key).alias("place"))
         .where(F.col("text").rlike(r"\p{L}"))
     )
-    from pyspark.sql import Window
-
     ranked = drawn.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(F.col("n") <= SAMPLE_TEXTS)
     languages = [row.lang for row in drawn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()]
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages: merge some")
-    parts: dict[str, list[bytes]] = {name: [] for name in sorted(languages)}
+    parts: dict[str, list[bytes]] = {name: [] for name in languages}
     for row in ranked.orderBy("lang", "n").select("lang", "text").toLocalIterator():
         had = parts[row.lang]
         if sum(map(len, had)) < DICTIONARY_BYTES and (words := letters_of(row.text.encode())):
             had.append(words)
-    return {name: b" ".join(had)[:DICTIONARY_BYTES] for name, had in parts.items() if had}
+    return {name: b"".join(had)[:DICTIONARY_BYTES] for name, had in parts.items() if had}
 
 
 class Packer:
     """Compressed sizes of a text under every dictionary."""
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 3) -> None:
-        import zstandard
+    def __init__(self, dictionaries: dict[str, bytes]) -> None:
+        import zstandard as z
 
-        self.names = sorted(dictionaries)
-        self.packers = []
-        for name in self.names:
-            data = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=level)
-            self.packers.append(zstandard.ZstdCompressor(dict_data=data, write_content_size=False, write_checksum=False, write_dict_id=False))
+        bare = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        search = {"window_log": 17, "chain_log": 17, "hash_log": 17, "search_log": 9, "min_match": 3, "strategy": z.STRATEGY_BTLAZY2}
+        self.names, self.packers, self.short = list(dictionaries), [], []
+        for content in dictionaries.values():
+            data = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+            self.short.append(z.ZstdCompressor(dict_data=data, compression_params=z.ZstdCompressionParameters(**search, **bare)))
+            data = z.ZstdCompressionDict(content, dict_type=z.DICT_TYPE_RAWCONTENT)
+            data.precompute_compress(level=LEVEL)
+            self.packers.append(z.ZstdCompressor(dict_data=data, **bare))
 
     def sizes(self, text: bytes) -> np.ndarray:
+        packers = self.short if len(text) < SHORT_BYTES else self.packers
         blocks = [text[at : at + BLOCK_BYTES] for at in range(0, len(text), BLOCK_BYTES)]
-        return np.array([sum(len(packer.compress(block)) for block in blocks) for packer in self.packers], np.int64)
+        return np.array([sum(len(packer.compress(block)) for block in blocks) for packer in packers], np.int64)
 
     def judge(self, text: bytes | None) -> tuple[str, float, float, bool]:
-        """Language, score, margin, rejected. Of equal sizes the first name wins, with margin 0."""
+        """Language, score, margin, rejected. Of equal sizes the first language wins, with margin 0."""
         words = letters_of(text)
         if words is None or not self.names:
             return UNKNOWN, 0.0, 0.0, True

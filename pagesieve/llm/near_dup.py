@@ -89,8 +89,9 @@ def bin_sketch(sets: list[np.ndarray], bins: int) -> np.ndarray:
     owner, element = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
     least = np.full(len(sets) * bins, np.iinfo(np.uint64).max, np.uint64)
     table = least.reshape(len(sets), bins)
+    seeds = mixed(np.arange(1, 2 * bins + 1, dtype=np.uint64) * A)
     for turn in range(2 * bins):
-        h = mixed(element ^ mixed(np.uint64(turn + 1) * A))
+        h = mixed(element ^ seeds[turn])
         # The first rounds choose a bin by the hash, the later ones fill one bin each for certain.
         bin_of = ((h >> SHIFT32) * np.uint64(bins)) >> SHIFT32 if turn < bins else np.uint64(turn - bins)
         np.minimum.at(least, owner * bins + np.asarray(bin_of, np.int64), (np.uint64(turn) << SHIFT32) | (h & LOW32))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pagesieve.llm.decontaminate import WINDOW
 from pagesieve.llm.licences import GAP, RULES, SENTENCES, normalised_text
-from pagesieve.llm.queries import URL_RULES
+from pagesieve.llm.queries import LINKED, URL_RULES
 from pagesieve.llm.url_rules import SMALL, UPPER
 from pagesieve.llm.warc import REVISIT_BYTES
 
@@ -82,6 +82,27 @@ FROM d LEFT JOIN f USING (row)
 """
 
 
+NEAR = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{SMALL}'), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, pos, pos + {LINKED.shingle - 1}), ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - {LINKED.shingle - 1}, 1) + 1)) AS pos FROM d WHERE len(words) > 0)
+), n AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id
+), l AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+  WHERE 100 * common >= {LINKED.percent} * (p.n_shingles + q.n_shingles - common)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), c AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT d.doc_id, coalesce(n.n_shingles, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
 _RULES = ", ".join(f"({quoted(host)}, {quoted(path)}, {quoted(verdict)})" for host, path, verdict in URL_RULES)
 URLS = rf"""
 WITH r(rule_host, rule_path, verdict) AS (VALUES {_RULES}),
@@ -101,5 +122,6 @@ ORACLES = {
     "op3_warc_archives": WARC,
     "op4_benchmark_overlap": OVERLAP,
     "op5_licence_scan": _licences(),
+    "op9_near_duplicates": NEAR,
     "op10_url_rules": URLS,
 }

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import bpe, decontaminate, licences, token_files, url_rules, warc
+from pagesieve.llm import bpe, decontaminate, fingerprints, language, licences, near_dup, quality, token_files, url_rules, warc
 from pagesieve.sources.tables import read_table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -24,6 +24,29 @@ URL_RULES = (
 )
 
 
+#: Two documents are linked when they share 85 of 100 three-word shingles. A pair just there is missed once in 4 million.
+LINKED = near_dup.Likeness(shingle=3, percent=85, rows=6, bands=32)
+
+
+def fold(parts: int) -> Column:
+    """The fold a document is in, by its id."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(parts))
+
+
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's language; every fourth fold is held out from learning."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang", (fold(4) == 2).alias("held_out"))
+    dictionaries = language.learn_dictionaries(docs.where("not held_out"))
+    return language.identify(docs, dictionaries, ["doc_id", "held_out"])
+
+
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's probability of quality 1; every fifth fold is held out from learning."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", (fold(5) == 0).alias("held_out"))
+    model = quality.learn_model(docs, read_table(spark, folder, "labels").where(fold(5) != 0))
+    return quality.score_quality(docs, model, ["doc_id", "held_out"])
+
+
 def op3_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     """Pages written to archives and read back."""
     archives = warc.archive_pages(read_table(spark, folder, "pages"))
@@ -59,6 +82,18 @@ def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, folder, "documents"), RANKS, PATTERN)
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's fingerprint, its edited text's, and how near they and the next one's are."""
+    compared = fingerprints.compare_neighbours(read_table(spark, folder, "documents"))
+    return compared.withColumns({name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")})
+
+
+def op9_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's component of near-duplicates, and whether it stands for it."""
+    linked = near_dup.link(read_table(spark, folder, "documents"), LINKED)
+    return linked.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's URL judged by nested rules."""
     rules = spark.createDataFrame(list(URL_RULES), url_rules.RULES)
@@ -68,11 +103,15 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_language,
+        op2_quality,
         op3_warc_archives,
         op4_benchmark_overlap,
         op5_licence_scan,
         op6_token_counts,
         op7_bpe_round_trip,
+        op8_fingerprints,
+        op9_near_duplicates,
         op10_url_rules,
     )
 }
