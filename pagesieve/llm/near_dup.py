@@ -7,8 +7,9 @@ sketches of different sets can be compared bin by bin. Bands of bins bring likel
 and each link is confirmed on the full sets.
 
 Documents with equal sets are one class and take part once. Inside a band's bucket not all pairs
-are formed: members are compared with a pivot, then only members of different components with
-further pivots, until every bucket's members are connected or were compared.
+are formed: members are compared with its smallest one. Where that leaves a bucket in several
+components, its members meet again by their rarest shingles, in buckets that hold every pair
+which can still be linked, and only members of different components are compared.
 """
 
 from __future__ import annotations
@@ -212,38 +213,65 @@ def link(docs: DataFrame, how: Likeness, key: str = "doc_id", text: str = "text"
     pairs = live.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = stored(confirmed(pairs, sets, how.percent), "links")
     labels = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    live = live.where("rep <> pivot").select("bucket", "rep", "n")
+    left = unresolved(live.where("rep <> pivot").select("bucket", "rep", "n"), labels)
+    if not left.isEmpty():
+        labels = settle(prefix_buckets(left.select("rep").distinct(), sets, how.percent), sets, labels, how.percent)
+
+    named = classes.select("set_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("set_id", F.coalesce("label", "rep").alias("component_id"))
+    linked = filled.select("key", "n_shingles", "set_id").join(named, "set_id").select("key", "n_shingles", "component_id")
+    alone = sketched.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
+    return linked.union(alone).withColumnRenamed("key", key)
+
+
+def prefix_buckets(reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``bucket, rep, n, place``: buckets of ``reps`` in which every linked pair of them meets.
+
+    Shingles are ordered by how many of the sets hold them, the rarest first. Two linked sets of
+    n and m shingles share at least ``percent (n + m) / (100 + percent)``, so their first common
+    shingle stands early in both, with at least so many from there on: ``place`` counts those
+    before it. A set whose own shingles are too many for any link drops out.
+    """
+    each = sets.join(reps, "rep", "left_semi").select("rep", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("bucket"))
+    common = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    ordered = each.join(common, "bucket").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("held", "bucket"))).alias("shared"))
+    own = F.col("n") - F.size("shared")
+    early = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - own
+    cut = ordered.where(early > 0).select("rep", "n", own.alias("own"), F.posexplode(F.slice("shared", F.lit(1), early.cast("int"))).alias("at", "s"))
+    return stored(cut.select(F.col("s.bucket").alias("bucket"), "rep", "n", (F.col("own") + F.col("at")).alias("place")), "prefixes")
+
+
+def settle(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The components when all pairs that meet in a bucket of ``live`` and may be linked are too.
+
+    The smallest members of each component in a bucket are compared with the members of others,
+    then leave the bucket; buckets of one component are done. The number of such pivots doubles,
+    so that few rounds are needed whatever a bucket's size.
+    """
     pivots = 1
     while True:
         live = unresolved(live, labels)
         if live.isEmpty():
-            break
-        # The smallest members of each component in a bucket are compared with all of the others;
-        # the number of pivots doubles, so that few rounds are needed whatever a bucket's size.
-        place = F.row_number().over(Window.partitionBy("bucket", "comp").orderBy("rep"))
-        chosen = stored(live.withColumn("place", place).where(F.col("place") <= pivots).select("bucket", "rep", "n", "comp"), "pivots")
-        other = chosen.select("bucket", F.col("rep").alias("p"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp"))
-        near = 100 * F.least("n", "p_n") >= how.percent * F.greatest("n", "p_n")
+            return labels
+        order = F.row_number().over(Window.partitionBy("bucket", "comp").orderBy("rep"))
+        chosen = stored(live.withColumn("order", order).where(F.col("order") <= pivots).drop("order"), "pivots")
+        other = chosen.select("bucket", *(F.col(name).alias(f"p_{name}") for name in ("rep", "n", "place", "comp")))
+        rest = F.least(F.col("n") - F.col("place"), F.col("p_n") - F.col("p_place"))
+        near = (100 + percent) * rest >= percent * (F.col("n") + F.col("p_n"))
         pairs = live.join(other, "bucket").where((F.col("comp") != F.col("p_comp")) & near)
-        pairs = pairs.select(F.least("rep", "p").alias("a"), F.greatest("rep", "p").alias("b")).distinct()
-        found = stored(confirmed(pairs, sets, how.percent), "links")
-        live = live.join(chosen.select("bucket", "rep"), ["bucket", "rep"], "left_anti").select("bucket", "rep", "n")
+        pairs = pairs.select(F.least("rep", "p_rep").alias("a"), F.greatest("rep", "p_rep").alias("b")).distinct()
+        found = stored(confirmed(pairs, sets, percent), "links")
+        live = live.join(chosen.select("bucket", "rep"), ["bucket", "rep"], "left_anti").drop("comp")
         pivots *= 2
         if not found.isEmpty():
             known = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
             labels = components(known.union(found.select(F.col("a").alias("u"), F.col("b").alias("v"))))
 
-    named = classes.select("set_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("set_id", F.coalesce("label", "rep").alias("component_id"))
-    linked = filled.select("key", "n_shingles", "set_id").join(named, "set_id").select("key", "n_shingles", "component_id")
-    alone = sketched.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
-    return linked.union(alone).withColumnRenamed("key", key)
-
 
 def unresolved(live: DataFrame, labels: DataFrame) -> DataFrame:
-    """Of the members ``bucket, rep, n`` those in buckets of several components, with ``comp``."""
+    """Of the members those in buckets of several components, with ``comp``."""
     named = live.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
-    named = named.select("bucket", "rep", "n", F.coalesce("label", "rep").alias("comp"))
+    named = named.select(*live.columns, F.coalesce("label", "rep").alias("comp"))
     split = named.groupBy("bucket").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     return stored(named.join(split.select("bucket"), "bucket", "left_semi"), "unresolved")
 
