@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,5 +88,21 @@ def open_store(folder: str):
     return fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:/") else f"file://{folder}")[0]
 
 
+def drawn(df: DataFrame, by: str, key: str, n: int, counts: dict, seed: int) -> DataFrame:
+    """At most ``n`` rows of each value of ``by`` in ``counts`` (its rows), those whose ``key``
+    hashes lowest, with their rank ``place``.
+
+    Rows whose hash is too high to be among them by six standard deviations go before anything
+    is shuffled, so that however many rows a value has, about ``n`` are ranked.
+    """
+    share = {value: min(1.0, (n + 6 * n**0.5 + 10) / count) for value, count in counts.items()}
+    if not share:
+        return df.limit(0).withColumn("place", F.lit(0))
+    bounds = F.create_map(*(F.lit(x) for value, part in share.items() for x in (value, min(int(part * 2**64) - 2**63, 2**63 - 1))))
+    low = df.withColumn("hash", F.xxhash64(F.lit(seed), key)).where(F.col("hash") <= F.try_element_at(bounds, F.col(by)))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("hash", key))
+    return low.withColumn("place", rank).where(F.col("place") <= n).drop("hash")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -12,11 +12,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesieve.llm.common import as_bytes, filtered, mapped, small_batches
+from pagesieve.llm.common import as_bytes, drawn, filtered, mapped, small_batches
 
 #: Texts drawn per language, characters taken of each, bytes of a dictionary, languages at most:
 #: the bounds of what is learned from.
@@ -61,19 +61,15 @@ def learn_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lan
     ``SAMPLE_CHARACTERS`` each, up to ``DICTIONARY_BYTES``. The languages come in the order of
     their rows, most first. No rows give no languages.
     """
-    drawn = (
-        labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-        .select(F.col(lang).cast("string").alias("lang"), F.substring(text, 1, SAMPLE_CHARACTERS).alias("text"), F.xxhash64(F.lit(17), key).alias("place"))
-        .where(F.col("text").rlike(r"\p{L}"))
-    )
-    ranked = drawn.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(F.col("n") <= SAMPLE_TEXTS)
-    languages = [row.lang for row in drawn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()]
-    if len(languages) > MOST_LANGUAGES:
+    known = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.substring(text, 1, SAMPLE_CHARACTERS).alias("text"))
+    ranked = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(ranked) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages: merge some")
-    parts: dict[str, list[bytes]] = {name: [] for name in languages}
-    for row in ranked.orderBy("lang", "n").select("lang", "text").toLocalIterator():
+    counts = {row.lang: row["count"] for row in ranked}
+    parts: dict[str, list[bytes]] = {name: [] for name in counts}
+    for row in drawn(known, "lang", "key", SAMPLE_TEXTS, counts, 17).orderBy("lang", "place", "text").select("lang", "text").toLocalIterator():
         had = parts[row.lang]
-        if sum(map(len, had)) < DICTIONARY_BYTES and (words := letters_of(row.text.encode())):
+        if sum(map(len, had)) < DICTIONARY_BYTES and (words := letters_of((row.text or "").encode())):
             had.append(words)
     return {name: b"".join(had)[:DICTIONARY_BYTES] for name, had in parts.items() if had}
 

@@ -17,11 +17,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagesieve.llm.common import LOWER, as_bytes, filtered, mapped, small_batches
+from pagesieve.llm.common import LOWER, as_bytes, drawn, filtered, mapped, small_batches
 
 #: Labelled texts learned from per label and the characters taken of each: the bounds of the sample.
 SAMPLE_TEXTS, SAMPLE_CHARACTERS = 3000, 8000
@@ -234,8 +234,7 @@ def learn_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     """
     marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key is not null and label in (0, 1)")
     counts = {row.label: row["count"] for row in marked.groupBy("label").count().collect()}
-    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64(F.lit(23), "key"), "key"))
-    chosen = marked.withColumn("place", place).where(F.col("place") <= SAMPLE_TEXTS)
+    chosen = drawn(marked, "label", "key", SAMPLE_TEXTS, counts, 23)
     # Bounded by the sample's size, so it may go to every task.
     found = docs.select(F.col(key).alias("key"), F.substring(F.col(text), 1, SAMPLE_CHARACTERS).alias("text")).join(F.broadcast(chosen), "key")
     rows = sorted((row.place, row.label, (row.text or "").encode()) for row in found.select("place", "label", "text").collect())

@@ -1,0 +1,116 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pagesieve.llm import language, quality
+from pagesieve.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.01"
+STEMS = {"en": "the and with from over light house river", "de": "der und mit von über licht haus fluss", "xx": "qar zul vok nim pex tor wub jek"}
+LONG = "the light of the house over the river " * 10_000
+
+
+def sentences(lang, n, draw):
+    return " ".join(draw.choices(STEMS[lang].split(), k=n))
+
+
+@pytest.fixture(scope="module")
+def spoken(spark):
+    draw = random.Random(2)
+    rows = [(at, sentences(lang, draw.randint(20, 60), draw), lang) for at, lang in enumerate(list(STEMS) * 40)]
+    return spark.createDataFrame([*rows, (1000, None, "en"), (1001, "12 34", "en"), (1002, "no language", None)], "doc_id long, text string, lang string")
+
+
+def test_language(spark, spoken):
+    dictionaries = language.learn_dictionaries(spoken)
+    assert set(dictionaries) == set(STEMS)
+    draw = random.Random(4)
+    texts = [(lang, sentences(lang, 30, draw).upper() + "!! 77") for lang in STEMS for _ in range(10)]
+    texts += [("und", None), ("und", ""), ("und", "12 — 34 _"), ("en", LONG), ("en", LONG)]
+    docs = spark.createDataFrame([(at, text) for at, (_, text) in enumerate(texts)], "doc_id long, text string").withColumn("score", F.lit("clash"))
+    found = {row.doc_id: row for row in language.identify(docs, dictionaries).collect()}
+    for at, (lang, _) in enumerate(texts):
+        assert found[at].lang_pred == lang and 0 <= found[at].score <= 1
+        assert found[at].rejected == (lang == "und")
+    kept = language.keep_identified(docs, dictionaries)
+    assert kept.columns == docs.columns and kept.count() == len(texts) - 3
+    assert language.identify(docs.limit(0), dictionaries).count() == 0
+
+
+def test_narrow_margins_are_rejected(spoken):
+    packer = language.Packer({"a": b" one two three" * 100, "b": b" one two three" * 100})
+    assert packer.judge(b"one two three") == ("a", 0.0, 0.0, True)
+    assert packer.judge(b"\xff\xfe one")[0] == "a"
+
+
+def test_nothing_learned(spark, spoken):
+    assert language.learn_dictionaries(spoken.limit(0)) == {}
+    row = language.identify(spoken.limit(1), {}).first()
+    assert (row.lang_pred, row.rejected) == ("und", True)
+    assert language.identify(spoken.limit(1), {"en": b"the"}).first().lang_pred == "en"
+
+
+def test_held_out_language(spark):
+    found = QUERIES["op1_language"](spark, FOLDER).toPandas()
+    truth = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang").toPandas()
+    both = found.merge(truth, on="doc_id")
+    assert len(both) == len(found) == len(truth)
+    assert (both.held_out == [zlib.crc32(str(x).encode()) % 4 == 2 for x in both.doc_id]).all()
+    assert (both.lang == both.lang_pred)[both.held_out].mean() > 0.98
+    assert both.rejected.mean() < 0.02
+
+
+def test_quality(spark):
+    draw = random.Random(6)
+    good = [sentences("en", draw.randint(5, 80), draw).capitalize() + "." for _ in range(150)]
+    bad = [" | ".join(sentences("en", draw.randint(5, 80), draw).upper().split()) + "!!" for _ in range(50)]
+    rows = [(at, text, 1) for at, text in enumerate(good)] + [(at + 200, text, 0) for at, text in enumerate(bad)]
+    docs = spark.createDataFrame([row[:2] for row in rows] + [(900, None), (901, ""), (902, LONG), (902, LONG)], "doc_id long, text string")
+    labels = spark.createDataFrame([(at, mark) for at, _, mark in rows if at % 3] + [(900, 1), (None, 1), (5000, 0), (1, None)], "doc_id long, quality int")
+    model = quality.learn_model(docs, labels)
+    found = quality.score_quality(docs.withColumn("predicted", F.lit("clash")), model)
+    assert found.columns == ["doc_id", "score", "predicted"]
+    scores = {row.doc_id: row for row in found.collect()}
+    assert all(0 <= row.score <= 1 and row.predicted == int(row.score >= quality.THRESHOLD) for row in scores.values())
+    held = [(scores[at].score, mark) for at, _, mark in rows if at % 3 == 0]
+    assert np.mean([(score >= 0.3) == mark for score, mark in held]) > 0.95
+    assert found.count() == docs.count()
+    kept = {row.doc_id for row in quality.keep_good(docs, model).collect()}
+    assert kept == {at for at, row in scores.items() if row.predicted}
+    again = quality.learn_model(docs.repartition(7), labels.repartition(5))
+    assert np.allclose(again.network.first, model.network.first)
+    assert quality.score_quality(docs.limit(0), model).count() == 0
+
+
+def test_quality_without_both_labels(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    one = quality.learn_model(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert [row.score for row in quality.score_quality(docs, one).collect()] == [1.0, 1.0]
+    none = quality.learn_model(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert [row.score for row in quality.score_quality(docs, none).collect()] == [0.5, 0.5]
+
+
+def test_held_out_quality(spark):
+    found = QUERIES["op2_quality"](spark, "/root/testdata/sf0.1").toPandas()
+    both = found.merge(spark.read.parquet("/root/testdata/sf0.1/labels.parquet").toPandas(), on="doc_id")
+    held = both[both.held_out]
+    assert (held.held_out == [zlib.crc32(str(x).encode()) % 5 == 0 for x in held.doc_id]).all()
+    assert (held.predicted == held.quality).mean() > 0.97
+    assert held[held.quality == 1].predicted.mean() > 0.98
+    order = held.score.rank()
+    ones = held.quality == 1
+    assert (order[ones].mean() - order[~ones].mean()) / len(held) + 0.5 > 0.99
+
+
+def test_temperature_leaves_the_order():
+    random = np.random.default_rng(1)
+    x = random.normal(size=(400, 5))
+    y = (x[:, 0] + random.normal(size=400) > 0).astype(float)
+    net = quality.train_network(x, y, np.ones(400))
+    p = net.probabilities(x)
+    assert 0.25 <= net.temperature <= 8
+    assert abs(p.mean() - y.mean()) < 0.08
+    assert (np.diff(p[np.argsort(net.logits(x))]) >= 0).all()

@@ -1,0 +1,174 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from pagesieve.llm import bpe, decontaminate, licences, token_files
+from pagesieve.llm.queries import PATTERN, RANKS, SEPARATOR
+
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+LONG = "Wörter und words " * 20_000
+
+
+def words_by_hand(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def overlap_by_hand(text, items, size):
+    words, hit, met = words_by_hand(text), set(), set()
+    for item, of in items:
+        of = words_by_hand(of)
+        if not of or item is None:
+            continue
+        n = min(size, len(of))
+        for at in range(len(of) - n + 1):
+            for place in range(len(words) - n + 1):
+                if words[place : place + n] == of[at : at + n]:
+                    hit.update(range(place, place + n))
+                    met.add(str(item))
+    return len(words), hit, sorted(met)
+
+
+@pytest.mark.parametrize("block", [7, 10_000])
+def test_overlap(spark, block):
+    draw = random.Random(5)
+    vocabulary = ["a", "b", "É", "éa", "x1", "Straße"]
+    line = lambda n: draw.choice([" ", "-", "\n\n", ". "]).join(draw.choices(vocabulary, k=n))
+    items = [(at, line(draw.randint(3, 9))) for at in range(12)] + [(50, "b"), (51, None), (52, "--"), (None, "a a")]
+    texts = [line(draw.randint(0, 30)) for _ in range(60)] + [None, "", "...", "Bb", "b", LONG + " B!", "b"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("items", F.lit(1))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = {row.doc_id: row for row in decontaminate.find_contamination(docs, benchmark, window=4, block=block).collect()}
+    kept = {row.doc_id for row in decontaminate.drop_contaminated(docs, benchmark, window=4, block=block).collect()}
+    for at, text in enumerate(texts):
+        n, hit, met = overlap_by_hand(text, items, 4) if text is not None and len(text) < 10_000 else (len(words_by_hand(text)), None, None)
+        assert rows[at].n_words == n
+        if hit is None:
+            continue
+        assert (rows[at].n_hit, rows[at]["items"]) == (len(hit), met), text
+        assert (at in kept) == (not hit)
+        spans = [(s.start, s.end) for s in rows[at].spans]
+        assert [w for a, b in spans for w in words_by_hand(text[a:b])] == [words_by_hand(text)[x] for x in sorted(hit)]
+    assert rows[len(texts) - 2].n_hit == 1 and rows[texts.index(None)].n_words == 0
+
+
+def test_overlap_of_nothing(spark):
+    docs, benchmark = spark.createDataFrame([(1, "a b")], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
+    assert decontaminate.find_contamination(docs, benchmark).first().n_hit == 0
+    assert decontaminate.find_contamination(docs.limit(0), benchmark).count() == 0
+    assert decontaminate.drop_contaminated(docs, benchmark).columns == ["doc_id", "text"]
+
+
+# -- BPE
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.Codec(bpe.read_ranks(RANKS), PATTERN)
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=bpe.read_ranks(RANKS), special_tokens={})
+
+
+def odd_texts():
+    draw = random.Random(9)
+    signs = list("ab cd'  \n\n\t're'll12 3!?é漢字\u3000\u00a0\u200b\x1c\x00🙂’") + ["'s", "  ", " \n "]
+    for size in (0, 1, 2, 5, 31, 63, 64, 65, 200, 900):
+        for _ in range(12):
+            yield "".join(draw.choices(signs, k=size))
+    yield from ("a" * 5000, " " * 5000, "\n" * 3000 + "x", "ab " * 2000, "漢" * 3000, "'re" * 1500, "x" * 999 + " " * 999 + "y" * 999, "<|endoftext|>" * 40, "!" * 4000)
+
+
+def test_tree_encodes_like_the_library(codec, plain, monkeypatch):
+    for leaf in (1, 2, 7, 64):
+        monkeypatch.setattr(bpe, "LEAF", leaf)
+        monkeypatch.setattr(bpe, "LEAF_TOKENS", leaf)
+        for text in odd_texts():
+            ids = codec.encode(text)
+            assert ids.tolist() == plain.encode_ordinary(text), (leaf, text[:80])
+            assert codec.decode(ids) == text.encode()
+
+
+def test_seams_of_long_texts(codec, plain):
+    for text in (LONG, "z" * 100_000, LONG.replace(" ", ""), " \n" * 40_000):
+        assert codec.encode(text).tolist() == plain.encode_ordinary(text)
+
+
+def test_round_trip_rows(spark, plain):
+    texts = [None, "", "Hello  world", "Hello  world", LONG, "é\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("ids", F.lit("clash"))
+    rows = {row.doc_id: row for row in bpe.round_trip(docs, RANKS, PATTERN).collect()}
+    for at, text in enumerate(texts):
+        ids = plain.encode_ordinary(text or "")
+        assert rows[at].n_tokens == len(ids)
+        assert rows[at].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert rows[at].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+    assert bpe.round_trip(docs.limit(0), RANKS, PATTERN).count() == 0
+    assert bpe.encode_texts(docs, RANKS, PATTERN).columns == ["doc_id", "n_tokens", "ids"]
+
+
+# -- token files
+
+
+@pytest.mark.parametrize("block", [1, 3, 50, 1 << 20])
+def test_separators(spark, tmp_path, block):
+    draw, want, names = random.Random(block), {}, []
+    for number in range(5):
+        lengths = [draw.choice([0, 0, 1, 2, 9, 40]) for _ in range(draw.randint(0, 30))]
+        ids = [x for n in lengths for x in (*draw.choices(range(9), k=n), SEPARATOR)]
+        open_end = draw.choice([0, 0, 7])
+        ids += [1] * open_end
+        name = str(tmp_path / f"{number}.u16")
+        np.array(ids, "<u2").tofile(name)
+        names.append((name,))
+        want.update({(name, at): n for at, n in enumerate(lengths + [open_end] * bool(open_end))})
+    files = spark.createDataFrame(names, "file string")
+    found = token_files.count_tokens(files, SEPARATOR, block, group=4)
+    assert {(row.file, row.ordinal): row.n_tokens for row in found.collect()} == want
+
+
+def test_document_tokens(spark, plain):
+    texts = [None, "", "one two", "one two", LONG, "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("file", F.lit("clash"))
+    found = token_files.document_tokens(docs, RANKS, PATTERN, SEPARATOR)
+    assert {row.doc_id: row.n_tokens for row in found.collect()} == {at: len(plain.encode_ordinary(text or "")) for at, text in enumerate(texts)}
+    assert token_files.document_tokens(docs.limit(0), RANKS, PATTERN, SEPARATOR).count() == 0
+    listed = token_files.write_token_files(docs.repartition(1), RANKS, PATTERN, SEPARATOR, file_bytes=10)
+    assert listed.select("file").distinct().count() > 1
+    with pytest.raises(Exception, match="separator"):
+        token_files.write_token_files(docs, RANKS, PATTERN, 5).count()
+    assert public_tokenizers.path("byte_bpe_50k.tiktoken") == RANKS
+
+
+# -- licences
+
+
+def test_licences(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    source, binary = "Redistributions of source code must retain the above copyright notice", "Redistributions in binary form must reproduce the above copyright notice"
+    texts = {
+        1: (None, 0, "", ""),
+        2: ("", 0, "", ""),
+        3: ("Hello.\nALL  RIGHTS reserved!", 2, "all-rights", "Proprietary"),
+        4: ("Released under the MIT License. All rights reserved.", 2, "mit all-rights", "MIT,Proprietary"),
+        5: (f"{bsd}.\n{source}.\nx\n{binary}.", 4, "bsd-grant bsd-source bsd-binary", "BSD-2-Clause"),
+        6: (f"{bsd}.\n{source}.\na\nb\nc\n{binary}.", 6, "bsd-grant bsd-source | bsd-binary", ""),
+        7: (f"{binary}.\n{source}.\n{bsd}", 3, "bsd-binary bsd-source bsd-grant", ""),
+        8: ("Licensed under the Apache License, Version 2.0.\n" * 2, 2, "apache-2 apache-2", "Apache-2.0"),
+        9: ("We said: all rights reserved. é, all rights reserved.", 3, "all-rights", "Proprietary"),
+        10: ("not a licence, all rights reserved " * 20_000, 1, "", ""),
+        11: ("This work is licensed under the GNU General Public License, version 3.", 1, "gpl-3", "GPL-3.0-only"),
+    }
+    docs = spark.createDataFrame([(at, row[0]) for at, row in texts.items()], "doc_id long, text string").withColumn("cut", F.lit(0))
+    found = {row.doc_id: row for row in licences.scan_licences(docs).collect()}
+    for at, (_, n, ids, names) in texts.items():
+        assert (found[at].n_sentences, found[at].sentence_ids, found[at].licences) == (n, ids, names), at
+    assert licences.scan_licences(docs.limit(0)).count() == 0
+    assert "Python" not in licences.scan_licences(docs)._jdf.queryExecution().executedPlan().toString()
