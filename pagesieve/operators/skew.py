@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 # Rows of one key that may stay together; a key with more is split into pieces of this size.
 PIECE_ROWS = 1_000_000
-# Keys marked for splitting at most. Keys beyond it hold under 1 / MARKED_KEYS of all rows each;
-# adaptive execution splits their partitions where they are still too large.
-MARKED_KEYS = 10_000
+# Keys marked for splitting at most: where all rows make more pieces, pieces grow to
+# 1 / MARKED_KEYS of the rows, and no more keys than that can have so many.
+MARKED_KEYS = 1_000_000
 
 # Rows without a key match nothing, but must not all meet in one partition either.
 NULL_SALTS = 1_000
@@ -23,13 +23,10 @@ def key_histogram(df: DataFrame, key: str) -> DataFrame:
 def heavy_keys(
     histogram: DataFrame, key: str, rows: str = "key_rows", piece_rows: int = PIECE_ROWS
 ) -> DataFrame:
-    """``key, salts`` of the keys with more than ``piece_rows`` rows, the largest first."""
-    return (
-        histogram.where(F.col(rows) > piece_rows)
-        .orderBy(F.desc(rows), key)
-        .limit(MARKED_KEYS)
-        .select(key, F.ceil(F.col(rows) / piece_rows).cast("int").alias("salts"))
-    )
+    """``key, salts`` of all keys with more rows than a piece holds."""
+    every = histogram.agg(F.sum(rows)).scalar()
+    piece = F.greatest(F.lit(piece_rows), F.ceil(every / MARKED_KEYS))
+    return histogram.where(F.col(rows) > piece).select(key, F.ceil(F.col(rows) / piece).cast("int").alias("salts"))
 
 
 def skew_join(
@@ -52,8 +49,8 @@ def skew_join(
     already known; keys it misjudges still join exactly. Where the caller knows that no key can
     have more than ``most`` rows, and that is one piece, the join is a plain one.
 
-    The marked keys are broadcast: there are at most MARKED_KEYS of them, and since each occurs
-    over ``piece_rows`` times, their text is under that part of the data. How to run the join
+    The marked keys are broadcast: by the size of a piece there are at most MARKED_KEYS of them,
+    and since each occurs over ``piece_rows`` times, their text is under that part of the data. How to run the join
     itself Spark decides by the sizes it measures. Use ``left`` or ``left_anti``: neither lets it
     build a hash table of the large side.
     """

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagesieve.functions.text import without
-from pagesieve.operators.skew import skew_join
+from pagesieve.operators.skew import PIECE_ROWS, skew_join
 
 # Word lists up to this size travel to every task as one array; longer ones are joined.
 IN_ROW_WORDS = 20_000
@@ -18,26 +17,38 @@ def drop_stop_words(
     columns: list[str],
     stop_words: DataFrame,
     in_row_words: int = IN_ROW_WORDS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Remove the stop words from the array ``columns``; what is left keeps its order.
 
-    ``key`` must be unique. A list of checked size is filtered inside each row, with no shuffle.
+    ``key`` must be unique. NULL is no stop word and stays. A list of checked size is filtered
+    inside each row, with no shuffle; a longer one is joined, with the same outcome.
     """
     stop_words = stop_words.where(F.length("word") > 0)
     if stop_words.limit(in_row_words + 1).count() <= in_row_words:
         listed = stop_words.agg(F.collect_set("word")).scalar()
-        kept = {name: without(F.col(name), F.col("_listed")) for name in columns}
+        kept = {
+            name: F.filter(name, lambda word: word.isNull() | ~F.array_contains("_listed", word))
+            for name in columns
+        }
         return df.withColumn("_listed", listed).withColumns(kept).drop("_listed")
     for name in columns:
-        df = _drop_by_join(df, key, name, stop_words)
+        df = _drop_by_join(df, key, name, stop_words, piece_rows)
     return df
 
 
-def _drop_by_join(df: DataFrame, key: str, name: str, stop_words: DataFrame) -> DataFrame:
+def _drop_by_join(
+    df: DataFrame, key: str, name: str, stop_words: DataFrame, piece_rows: int
+) -> DataFrame:
     order = df.columns
     placed = df.select(key, F.posexplode(name).alias("place", "word"))
     left = skew_join(
-        placed, stop_words.distinct(), "word", "left_anti", spread=[F.col(key), F.col("place")]
+        placed,
+        stop_words.distinct(),
+        "word",
+        "left_anti",
+        spread=[F.col(key), F.col("place")],
+        piece_rows=piece_rows,
     )
     pairs = F.sort_array(F.collect_list(F.struct("place", "word")))
     lists = left.groupBy(key).agg(F.transform(pairs, lambda pair: pair["word"]).alias("kept"))

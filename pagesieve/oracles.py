@@ -239,6 +239,8 @@ ORACLES = {
     "stream_incremental": MARKED,
     "stream_resume": MARKED,
     "stream_replay": MARKED,
+    "stream_new_checkpoint": MARKED,
+    "reset_resume": f"WITH {FIELDS}, {RESULT} SELECT * FROM result WHERE \"offset\" > 0",
     "batch_incremental": f"{MARKED} WHERE \"offset\" > 0",
 }
 ORACLES["stopword_join"] = ORACLES["stopword_filter"]

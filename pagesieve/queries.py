@@ -49,7 +49,7 @@ from pagesieve.schemas import RESULT
 from pagesieve.session import new_folder, stored
 from pagesieve.sources import lines, marks, pages, results
 from pagesieve.sources.params import TrainingParams
-from pagesieve.sources.tables import balanced, read_table
+from pagesieve.sources.tables import read_table
 from pagesieve.streaming.batch import run_above_mark
 from pagesieve.streaming.incremental import run_incremental, stream_rows
 
@@ -75,12 +75,11 @@ def day() -> Column:
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
-    table = read_table(spark, folder, "documents").select("doc_id", *columns)
-    return balanced(table, "doc_id")
+    return read_table(spark, folder, "documents").select("doc_id", *columns)
 
 
 def web_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return balanced(read_table(spark, folder, "pages"), "page_id")
+    return read_table(spark, folder, "pages")
 
 
 def n_documents(spark: SparkSession, folder: str) -> int:
@@ -201,7 +200,7 @@ def stopword_filter(spark, folder):
 
 def stopword_join(spark, folder):
     """As ``stopword_filter``, the way longer stop lists take."""
-    kept = drop_stop_words(words_of(spark, folder), "doc_id", ["words"], stop_list(spark), in_row_words=0)
+    kept = drop_stop_words(words_of(spark, folder), "doc_id", ["words"], stop_list(spark), in_row_words=0, piece_rows=1000)
     return kept.select("doc_id", join_words(F.col("words")).alias("kept"))
 
 
@@ -541,6 +540,14 @@ class Stage:
         stream = stream_rows(self.spark, self.rows, schema, files)
         run_incremental(stream, result_of, self.result, self.marks, f"{self.root}/{checkpoint}")
 
+    def forget_last_commit(self, checkpoint: str = "checkpoint") -> None:
+        """Leave the checkpoint as a crash before its last commit would."""
+        jvm, context = self.spark._jvm, self.spark.sparkContext
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{checkpoint}/commits")
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        done = [status.getPath() for status in files.listStatus(folder)]
+        files.delete(max(done, key=lambda path: int(path.getName()) if path.getName().isdigit() else -1), False)
+
     def outcome(self) -> DataFrame:
         mark = F.lit(marks.read_mark(self.spark, self.marks)).cast("long")
         return shown(results.read_result(self.spark, self.result, RESULT)).withColumn("mark", mark)
@@ -566,12 +573,27 @@ def stream_resume(spark, folder):
 
 
 def stream_replay(spark, folder):
-    """Every batch is handled twice, as after a crash between result and checkpoint."""
+    """The last batch is handled twice, as after a crash between result and checkpoint."""
     rows = page_rows(spark, folder)
     stage = Stage(spark, "replay")
-    stage.arrive(rows)
-    stage.run(rows.schema, "first")
-    stage.run(rows.schema, "second")
+    secure = F.col("url").startswith("https")
+    for part in (secure, ~secure):
+        stage.arrive(rows.where(part))
+        stage.run(rows.schema, files=1)
+    stage.forget_last_commit()
+    stage.run(rows.schema, files=1)
+    return stage.outcome()
+
+
+def stream_new_checkpoint(spark, folder):
+    """Two queries with checkpoints and sources of their own share one result."""
+    rows = page_rows(spark, folder)
+    stage = Stage(spark, "shared")
+    secure = F.col("url").startswith("https")
+    for part, source, files in ((secure, "first", 1), (~secure, "second", 3)):
+        stage.rows = f"{stage.root}/{source}-rows"
+        stage.arrive(rows.where(part))
+        stage.run(rows.schema, source, files)
     return stage.outcome()
 
 
@@ -586,6 +608,19 @@ def batch_incremental(spark, folder):
     return stage.outcome()
 
 
+def reset_resume(spark, folder):
+    """A run over the table, the mark set back, a run over the pages that came since: all stay."""
+    stage = Stage(spark, "reset")
+    table = page_rows(spark, folder).withColumnsRenamed(
+        {"offset": "id", "website_name": "sname", "file_path": "snapshot"}
+    )
+    secure = F.col("url").startswith("https")
+    run_above_mark(table.where(secure), result_of, stage.result, stage.marks)
+    marks.reset_mark(spark, stage.marks)
+    run_above_mark(table.where(~secure), result_of, stage.result, stage.marks)
+    return shown(results.read_result(spark, stage.result, RESULT))
+
+
 QUERIES = {
     "incremental_scan": incremental_scan,
     "max_offset": max_offset,
@@ -629,5 +664,7 @@ QUERIES = {
     "stream_incremental": stream_incremental,
     "stream_resume": stream_resume,
     "stream_replay": stream_replay,
+    "stream_new_checkpoint": stream_new_checkpoint,
     "batch_incremental": batch_incremental,
+    "reset_resume": reset_resume,
 }

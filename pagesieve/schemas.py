@@ -18,7 +18,7 @@ FEATURES = _struct(file_path=_text, title=_text, keywords=_text, description=_te
 VOCABULARY = _struct(word=_text, id=_long)
 VECTORS = _struct(word=_text, id=_long, vector=T.ArrayType(T.FloatType()))
 SCORES = _struct(classes=_int, probabilities=T.ArrayType(_double))
-MARKS = _struct(seq=_long, offset_value=_long)
+MARKS = _struct(seq=_long, offset_value=_long, upto=_long)
 
 _result = {name: _text for name in ("wzmc", "ym", "yjym", "url", "nwdz")}
 RESULT = _struct(offset=_long, **_result, rksj=T.TimestampNTZType(), logits=_double)

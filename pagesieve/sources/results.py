@@ -30,9 +30,9 @@ def append_result(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(rows: DataFrame, path: str, batch_id: int | str) -> None:
     """Write one batch into its own partition. Writing it again replaces it, so a batch repeated
-    after a crash leaves no second copy."""
+    after a crash leaves no second copy. ``batch_id`` must name one batch of one writer."""
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 

@@ -7,15 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
-def balanced(df: DataFrame, key: str) -> DataFrame:
-    """Spread by ``key`` what lies in too few files to feed every core.
-
-    A row group is read by one task, so a handful of files leaves most cores idle. Tables of
-    many files pass through untouched, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)

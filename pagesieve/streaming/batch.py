@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from pagesieve.sources.marks import advance_mark, read_mark
+from pagesieve.sources.marks import begin_run, open_run, read_mark, write_mark
 from pagesieve.sources.pages import incoming_rows
 from pagesieve.sources.results import write_batch
 from pagesieve.streaming.incremental import Job
@@ -20,17 +20,21 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def run_above_mark(table: DataFrame, job: Job, result: str, marks: str) -> int:
     """Score the rows above the saved mark, add the positives, move the mark; gives their number.
 
-    The upper end is fixed before anything is scored, so the mark never passes unread rows. The
-    result's partition is named after the mark the run began at: a run repeated after a crash
-    replaces what the broken one left.
+    The run's number and upper end are noted before anything is scored, so the mark never passes
+    unread rows and a run that broke off is repeated as it was: same rows, same partition of the
+    result, which it replaces. Numbers are never used again, so no run, not even one that begins
+    at 0 after a reset, touches what another has stored.
     """
     spark = table.sparkSession
-    mark = read_mark(spark, marks)
-    fresh = incoming_rows(table, mark)
-    largest = fresh.agg(F.max("offset")).first()[0]
-    if largest is None:
-        return 0
-    positives, observation = counted(job(fresh.where(F.col("offset") <= largest)), "positives")
-    write_batch(positives, result, mark)
-    advance_mark(spark, marks, largest)
+    begun = open_run(spark, marks)
+    if begun is None:
+        largest = incoming_rows(table, read_mark(spark, marks)).agg(F.max("offset")).first()[0]
+        if largest is None:
+            return 0
+        begun = begin_run(spark, marks, largest)
+    seq, mark, upto = begun
+    fresh = incoming_rows(table, mark).where(F.col("offset") <= upto)
+    positives, observation = counted(job(fresh), "positives")
+    write_batch(positives, result, f"table-{seq}")
+    write_mark(spark, marks, upto)
     return observation.get["n_rows"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,23 +23,35 @@ def stream_rows(spark: SparkSession, folder: str, schema: T.StructType, files_pe
     return reader.parquet(folder)
 
 
-def handle_batch(rows: DataFrame, batch_id: int, job: Job, result: str, marks: str) -> None:
+def handle_batch(rows: DataFrame, batch_id: int, job: Job, result: str, marks: str, query: str = "stream") -> None:
     """Score one batch, store its positives, then move the mark to its largest offset.
 
     The mark moves even if nothing was positive. A crash in between repeats the batch, which
-    replaces its own partition of the result.
+    replaces its own partition of the result, named by the query and the batch.
     """
-    write_batch(job(rows), result, batch_id)
+    write_batch(job(rows), result, f"{query}-{batch_id}")
     largest = rows.agg(F.max("offset")).first()[0]
     if largest is not None:
         advance_mark(rows.sparkSession, marks, largest)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives the query of a checkpoint and keeps in it over restarts."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def run_incremental(rows: DataFrame, job: Job, result: str, marks: str, checkpoint: str) -> None:
-    """Handle everything that is there, in batches, and stop; the next run resumes after it."""
+    """Handle everything that is there, in batches, and stop; the next run resumes after it.
+
+    A batch's number only counts within its checkpoint, so the query's id stands before it:
+    queries with other checkpoints may share the result and never replace each other's batches.
+    (One that reads the same files again, its checkpoint lost, stores their rows again.)
+    """
+    spark = rows.sparkSession
     query = (
         rows.writeStream.foreachBatch(
-            lambda batch, batch_id: handle_batch(batch, batch_id, job, result, marks)
+            lambda batch, batch_id: handle_batch(batch, batch_id, job, result, marks, query_id(spark, checkpoint))
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -197,8 +197,46 @@ def test_a_batch_handled_twice_counts_once(spark, tmp_path):
     for _ in range(2):
         handle_batch(rows, 5, job, result, saved)
     assert results.read_result(spark, result, RESULT).count() == 2
-    withbatch = T.StructType([*RESULT.fields, T.StructField("batch_id", T.LongType())])
-    assert {row["batch_id"] for row in results.read_result(spark, result, withbatch).collect()} == {5}
+    withbatch = T.StructType([*RESULT.fields, T.StructField("batch_id", T.StringType())])
+    assert {row["batch_id"] for row in results.read_result(spark, result, withbatch).collect()} == {"stream-5"}
+
+
+def test_queries_with_own_checkpoints_share_a_result(spark, tmp_path):
+    result, saved = str(tmp_path / "out"), str(tmp_path / "marks")
+    for name, ids in (("a", range(1, 7)), ("b", range(7, 9))):
+        rows = spark.createDataFrame([page(at, 1.0) for at in ids], ROWS)
+        rows.repartition(2).write.parquet(str(tmp_path / name))
+        stream = stream_rows(spark, str(tmp_path / name), rows.schema, 1)
+        run_incremental(stream, job, result, saved, str(tmp_path / f"{name}-checkpoint"))
+    assert sorted(row["offset"] for row in results.read_result(spark, result, RESULT).collect()) == list(range(1, 9))
+
+
+def table_of(spark, *ids):
+    rows = [(at, "s", "d.com", "u", f"f{at}", 1.0) for at in ids]
+    return spark.createDataFrame(rows, "id long, sname string, domain string, url string, snapshot string, x double")
+
+
+def test_runs_after_a_reset_lose_nothing(spark, tmp_path):
+    result, saved = str(tmp_path / "out"), str(tmp_path / "marks")
+    assert run_above_mark(table_of(spark, 1, 2, 3), job, result, saved) == 3
+    marks.reset_mark(spark, saved)
+    assert run_above_mark(table_of(spark, 4), job, result, saved) == 1
+    assert sorted(row["offset"] for row in results.read_result(spark, result, RESULT).collect()) == [1, 2, 3, 4]
+
+
+def test_a_broken_run_is_repeated_as_it_was(spark, tmp_path):
+    result, saved = str(tmp_path / "out"), str(tmp_path / "marks")
+
+    def broken(rows):
+        results.write_batch(job(rows), result, "table-0")
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        run_above_mark(table_of(spark, 1, 2), broken, result, saved)
+    assert run_above_mark(table_of(spark, 1, 2, 3), job, result, saved) == 2
+    assert run_above_mark(table_of(spark, 1, 2, 3), job, result, saved) == 1
+    assert sorted(row["offset"] for row in results.read_result(spark, result, RESULT).collect()) == [1, 2, 3]
+    assert marks.read_mark(spark, saved) == 3
 
 
 def test_mark_moves_without_positives(spark, tmp_path):

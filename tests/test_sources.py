@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pagesieve.schemas import INCOMING
 from pagesieve.sources import lines, marks, pages, results
 from pagesieve.sources.params import read_params
-from pagesieve.sources.tables import balanced
 
 
 @pytest.fixture
@@ -134,12 +133,3 @@ def test_archive(spark, tmp_path):
         results.write_archive(rows.where("html is not null"), str(tmp_path / "archive"))
     back = spark.read.parquet(str(tmp_path / "archive" / "dt=2024-01-31")).collect()
     assert [(row["dst"], row["html"]) for row in back] == [("root/2024-01-31/1.html", "x")] * 2
-
-
-def test_balanced(spark, tmp_path):
-    spark.range(10).repartition(1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert balanced(one, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(100).repartition(8).write.parquet(str(tmp_path / "many"))
-    many = spark.read.parquet(str(tmp_path / "many"))
-    assert balanced(many, "id") is many
