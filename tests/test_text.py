@@ -88,12 +88,14 @@ DOMAINS = {
 
 
 def by_hand(domain):
-    """The rule in words: the label before the suffix, and the suffix."""
-    suffix = next((suffix for suffix in TWO_LABEL_SUFFIXES if domain.endswith(suffix)), "")
-    if not suffix and domain.rfind(".") > 0:
-        suffix = domain[domain.rfind(".") :]
-    rest = domain[: len(domain) - len(suffix)]
-    return rest.split(".")[-1] + suffix
+    """How many labels stay: three above a listed pair, else two, or the only one that is not empty."""
+    labels = domain.split(".")
+    listed = {tuple(suffix.split(".")[1:]) for suffix in TWO_LABEL_SUFFIXES}
+    if len(labels) > 2 and tuple(labels[-2:]) in listed:
+        kept = 3
+    else:
+        kept = 1 if len(labels) == 2 and not labels[0] else 2
+    return ".".join(labels[-kept:])
 
 
 def test_top_domain(spark):
