@@ -85,9 +85,11 @@ def archived(positives: DataFrame, snapshots: DataFrame, root: str, day: Column,
     )
 
 
-def write_archive(rows: DataFrame, path: str) -> None:
-    """Archive as one table with a partition per day; a day's later runs add to it."""
-    rows.write.mode("append").partitionBy("dt").parquet(path)
+def write_archive(rows: DataFrame, path: str, run: str) -> None:
+    """Archive as one table with a partition per day and run. A day's later runs add to it, a run
+    that is repeated replaces what it wrote; ``run`` must name one run, as a batch's name does."""
+    writer = rows.withColumn("run", F.lit(run)).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("dt", "run").parquet(path)
 
 
 def copy_files(df: DataFrame, source: str, target: str) -> DataFrame:

@@ -129,7 +129,7 @@ def test_archive(spark, tmp_path):
     snapshots = spark.createDataFrame([("a/1.html", "x"), ("c", "y")], "file_path string, html string")
     day = F.lit(datetime.date(2024, 1, 31))
     rows = results.archived(positives, snapshots, "root", day, "offset")
-    for _ in range(2):
-        results.write_archive(rows.where("html is not null"), str(tmp_path / "archive"))
+    for run in ("r1", "r1", "r2"):
+        results.write_archive(rows.where("html is not null"), str(tmp_path / "archive"), run)
     back = spark.read.parquet(str(tmp_path / "archive" / "dt=2024-01-31")).collect()
     assert [(row["dst"], row["html"]) for row in back] == [("root/2024-01-31/1.html", "x")] * 2
