@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagesieve.queries import ALIAS, BUCKETS, DAY, MAIN, PAGES, ROOT, STOP_WORDS, SUB
+from pagesieve.queries import ALIAS, BUCKETS, DAY, JOB_MODELS, MAIN, PAGES, ROOT, STOP_WORDS, SUB
 
 # Patterns
 NO_LETTER = r"[^\p{L}]"
@@ -71,6 +71,7 @@ TITLE = f"regexp_replace({UNESCAPED}, '&amp;?', '&', 'g')"
 LINK = """nullif(regexp_extract(html, '<a [^>]*href="(/[^"]*)"', 1), '')"""
 CSS = """nullif(regexp_extract(html, ' class="([^"]*)"', 1), '')"""
 LETTER_TEXT = f"regexp_replace(html, '{NO_LETTER}', '', 'g')"
+URL_WORDS = "regexp_replace(url, '[^A-Za-z]+', ' ', 'g')"
 HOST = "regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)"
 FIELDS = f"""
 fields AS (
@@ -110,21 +111,33 @@ result AS (
   FROM fields WHERE {P_PAGE} > 0.5)"""
 MARKED = f'WITH {FIELDS}, {RESULT} SELECT *, (SELECT max(page_id) FROM pages) AS mark FROM result'
 
+STAGED = f"""replace(html, '<head>', '<head><meta name="keywords" content="' || {HOST} || '">'
+  || CASE WHEN starts_with(url, 'https') THEN '' ELSE '<meta name="description" content="' || {URL_WORDS} || '">' END)"""
 PAGE_TOP = f"""
+{FIELDS},
 docs AS (
-  SELECT page_id AS doc_id, html,
-         list_filter(string_split_regex(lower(html), '{NO_LETTER}+'), lambda w: length(w) >= 2) AS words
-  FROM pages),
+  SELECT page_id AS doc_id,
+         list_filter(string_split_regex(lower({STAGED}), '{NO_LETTER}+'), lambda w: length(w) >= 2) AS words
+  FROM pages WHERE page_id > 0),
 {ALL_WORDS}, {COUNTED}, {_ranked(
     "SELECT word, count(*) AS df FROM counted GROUP BY word", "SELECT count(*) FROM docs")},
 {TAGS},
+kept_tags AS (
+  SELECT doc_id, list_filter(tag_words, lambda w: w NOT IN ({STOPS})) AS kept FROM tags),
+metas AS (
+  SELECT page_id, list_filter(
+           string_split_regex(lower(coalesce(title || {HOST} || {URL_WORDS}, '')), '{NO_LETTER}+'),
+           lambda w: length(w) >= 2 AND w NOT IN ({STOPS})) AS words
+  FROM fields),
 measured AS (
-  SELECT p.page_id, p.url, len(kept) AS n_tags, len(list_filter(kept, lambda w: length(w) > 8)) AS n_rare
-  FROM pages p LEFT JOIN (
-    SELECT doc_id, list_filter(tag_words, lambda w: w NOT IN ({STOPS})) AS kept FROM tags) t
-  ON p.page_id = t.doc_id)"""
-JOB_MAIN = _positive(({"n_tags": 0.1, "n_rare": 0.2}, -3.0), {"n_tags": "n_tags", "n_rare": "n_rare"})
-JOB_SUB = _positive(({"n_tags": 0.3, "n_rare": -0.3}, 0.1), {"n_tags": "n_tags", "n_rare": "n_rare"})
+  SELECT p.page_id, p.url, coalesce(len(kept), 0) AS n_tags,
+         coalesce(len(list_filter(kept, lambda w: length(w) > 8)), 0) AS n_rare,
+         CASE WHEN starts_with(p.url, 'https') THEN 0 ELSE len(m.words) END AS n_meta,
+         length({STAGED}) AS n_archived
+  FROM pages p LEFT JOIN kept_tags ON p.page_id = doc_id JOIN metas m ON p.page_id = m.page_id)"""
+JOB_MAIN, JOB_SUB = (
+    _positive(model, {name: name for name in ("n_tags", "n_rare", "n_meta")}) for model in JOB_MODELS
+)
 
 
 ORACLES = {
@@ -229,10 +242,16 @@ ORACLES = {
     "archive_positives": f"""WITH {FIELDS}, {RESULT}
         SELECT "offset", nwdz AS dst, '{DAY[:10]}' AS dt, length(html) AS n_chars
         FROM result JOIN pages ON "offset" = page_id""",
+    "snapshot_read": f"""
+        WITH found AS (
+          SELECT page_id, CASE WHEN NOT contains(url, '#') AND NOT starts_with({HOST}, 'm.') THEN html END AS html
+          FROM pages)
+        SELECT page_id AS "offset", length(html) AS n_chars, md5(html) AS digest FROM found""",
     "score_job": f"""WITH {PAGE_TOP}
         SELECT page_id AS "offset", {HOST} AS wzmc, {HOST} AS ym, {TOP_OF_HOST} AS yjym, url, {DST} AS nwdz,
-               TIMESTAMP '{DAY}' AS rksj, round({JOB_MAIN}, 9) AS logits_main, round({JOB_SUB}, 9) AS logits_sub
-        FROM measured WHERE {JOB_MAIN} > 0.5 AND {JOB_SUB} > 0.5""",
+               TIMESTAMP '{DAY}' AS rksj, round({JOB_MAIN}, 9) AS logits_main, round({JOB_SUB}, 9) AS logits_sub,
+               n_archived
+        FROM measured WHERE page_id > 0 AND {JOB_MAIN} > 0.5 AND {JOB_SUB} > 0.5""",
     "backup_purge": """
         SELECT page_id AS "offset", url, page_id >= (SELECT max(page_id) // 2 FROM pages) AS kept, 0 AS mark
         FROM pages""",

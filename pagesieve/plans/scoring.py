@@ -16,8 +16,10 @@ from pagesieve.functions.paths import archive_path, drop_first_slash
 from pagesieve.functions.scores import chosen_class, chosen_probability, linear_probabilities
 from pagesieve.operators.clean import Cleaning, clean_text
 from pagesieve.operators.features import join_features, page_features
+from pagesieve.session import stored
+from pagesieve.sources.files import as_uri, dealt, fetch_snapshots
 from pagesieve.sources.pages import sample_rows
-from pagesieve.sources.results import write_scores_csv
+from pagesieve.sources.results import copy_files, write_scores_csv
 
 Scorer = Callable[[DataFrame], DataFrame]
 Predictor = Callable[[pd.DataFrame], np.ndarray]
@@ -115,27 +117,65 @@ def result_rows(positives: DataFrame, archive_root: str, processed_at: Column) -
 
 def score_pages(
     rows: DataFrame,
-    snapshots: DataFrame,
+    snapshots: DataFrame | str,
     how: Cleaning,
     stop_words: DataFrame,
     main: Scorer,
     sub: Scorer | None = None,
     frequencies: DataFrame | None = None,
     all_snapshots: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Positive rows of a whole job: snapshots, features, words, one or two models.
 
-    ``rows`` have offset, website_name, domain, url and file_path; ``offset`` is unique. Only
-    snapshots some row names are parsed; ``all_snapshots`` skips that check where every one is
-    wanted, which spares moving their HTML. Rows without a snapshot are scored on empty text.
+    ``rows`` have offset, website_name, domain, url and file_path; ``offset`` is unique.
+    ``snapshots`` is the folder of the files the rows name, fetched one by one in ``tasks`` tasks,
+    or a table of ``file_path, html``. Of a table only snapshots some row names are parsed;
+    ``all_snapshots`` skips that check where every one is wanted, which spares moving their HTML.
+    Rows without a snapshot are scored on empty text. Rows with their features are stored once,
+    for the passes that rank and clean them.
     """
     rows = rows.withColumn("file_path", drop_first_slash(F.col("file_path")))
-    if not all_snapshots:
-        wanted = rows.select("file_path").distinct()
-        snapshots = snapshots.join(wanted, "file_path", "left_semi")
-    features = page_features(snapshots, keep=how.keep or r"\s\S", aliases=how.aliases)
-    data = join_features(rows, features, "offset")
-    return cascade(clean_text(data, "offset", stop_words, how, frequencies), main, sub)
+    parsed = {"keep": how.keep or r"\s\S", "aliases": how.aliases}
+    if isinstance(snapshots, str):
+        data = page_features(fetch_snapshots(rows, snapshots, tasks=tasks), **parsed)
+    else:
+        if not all_snapshots:
+            wanted = rows.select("file_path").distinct()
+            snapshots = snapshots.join(wanted, "file_path", "left_semi")
+        data = join_features(rows, page_features(snapshots, **parsed), "offset")
+    return cascade(clean_text(stored(data, "features"), "offset", stop_words, how, frequencies), main, sub)
+
+
+def archiving(
+    score: Callable[[DataFrame], DataFrame],
+    source: str,
+    target: str,
+    archive_root: str,
+    processed_at: Column,
+    tasks: int | None = None,
+) -> Callable[[DataFrame], DataFrame]:
+    """A job for the incremental runs: score the rows, copy the positives' snapshots from below
+    ``source`` to their archive paths below ``target``, then give the rows to store. ``score``
+    gives positives whose ``file_path`` is relative to ``source``, as ``score_pages`` does.
+
+    All copies are made before any row that points to one is stored, and the mark moves after
+    both, so a job that breaks off anywhere is repeated: copying again overwrites. A snapshot that
+    is missing keeps its row and is not copied.
+    """
+
+    def job(rows: DataFrame) -> DataFrame:
+        positives = stored(score(rows), "positives")
+        kept = archive_path(F.col("file_path"), archive_root, processed_at)
+        pairs = positives.where("file_path is not null").select(
+            F.concat(F.lit(as_uri(source) + "/"), "file_path").alias("source"),
+            F.concat(F.lit(as_uri(target) + "/"), kept).alias("target"),
+        )
+        pairs = dealt(pairs.distinct(), tasks, "source")
+        copy_files(pairs, "source", "target").write.format("noop").mode("overwrite").save()
+        return result_rows(positives, archive_root, processed_at)
+
+    return job
 
 
 def score_sample(

@@ -36,6 +36,7 @@ from pagesieve.operators.tfidf import document_frequencies, top_words, word_list
 from pagesieve.operators.vocabulary import number_words, vocabulary_size, word_frequencies
 from pagesieve.plans import maintenance
 from pagesieve.plans.scoring import (
+    archiving,
     batch_scorer,
     cascade,
     decode,
@@ -45,9 +46,9 @@ from pagesieve.plans.scoring import (
     score_pages,
 )
 from pagesieve.plans.training import load_model, save_model, train
-from pagesieve.schemas import RESULT
+from pagesieve.schemas import CASCADE_RESULT, RESULT
 from pagesieve.session import new_folder, stored
-from pagesieve.sources import lines, marks, pages, results
+from pagesieve.sources import files, lines, marks, pages, results
 from pagesieve.sources.params import TrainingParams
 from pagesieve.sources.tables import read_table
 from pagesieve.streaming.batch import run_above_mark
@@ -484,26 +485,75 @@ def archive_positives(spark, folder):
     )
 
 
+def staged_html() -> Column:
+    """The page with meta tags: its host as keywords, the words of its URL as description. Pages
+    of secure hosts get no description."""
+    words = F.regexp_replace("url", "[^A-Za-z]+", " ")
+    described = F.concat(F.lit('<meta name="description" content="'), words, F.lit('">'))
+    tags = F.concat(
+        F.lit('<head><meta name="keywords" content="'),
+        host_of(F.col("url")),
+        F.lit('">'),
+        F.when(F.col("url").startswith("https"), "").otherwise(described),
+    )
+    return F.replace(F.col("html"), F.lit("<head>"), tags)
+
+
+def snapshot_read(spark, folder):
+    """Snapshots fetched by name from a store of files. Those of URLs with a mark are not there,
+    those of mobile hosts not in UTF-8."""
+    store = new_folder(spark, "store")
+    rows = page_rows(spark, folder).withColumn("file_path", drop_first_slash(F.col("file_path")))
+    content = F.when(F.col("website_name").startswith("m."), F.encode("html", "UTF-16"))
+    there = rows.where(~F.col("url").contains("#")).select(
+        "file_path", content.otherwise(F.encode("html", "UTF-8")).alias("content")
+    )
+    files.store_snapshots(there, store).write.format("noop").mode("overwrite").save()
+    found = files.fetch_snapshots(rows.select("offset", "file_path"), store, tasks=8)
+    return found.select("offset", F.length("html").cast("long").alias("n_chars"), F.md5("html").alias("digest"))
+
+
+JOB_MODELS = ({"n_tags": 0.1, "n_rare": 0.2}, -3.0), ({"n_meta": 0.3, "n_rare": -0.3}, 0.1)
+
+
 def score_job(spark, folder):
-    """The whole cascade job: rows, separate snapshots, features, words, two models."""
-    both = page_rows(spark, folder)
-    rows = both.drop("html")
-    snapshots = both.select(drop_first_slash(F.col("file_path")).alias("file_path"), "html")
-    first, second = ({"n_tags": 0.1, "n_rare": 0.2}, -3.0), ({"n_tags": 0.3, "n_rare": -0.3}, 0.1)
+    """The whole cascade job over a table: snapshots fetched by name, features, words, two models,
+    positives' snapshots archived, rows stored, mark moved. ``n_archived`` is the length of the
+    file a stored row points to."""
+    stage = Stage(spark, "job")
+    store, archive = f"{stage.root}/store", f"{stage.root}/archive"
+    staged = page_rows(spark, folder).withColumn("content", staged_html())
+    relative = drop_first_slash(F.col("file_path"))
+    content = staged.select(relative.alias("file_path"), "content")
+    files.store_snapshots(content, store).write.format("noop").mode("overwrite").save()
 
     def counting(model):
         def score(df):
             counts = {
                 "n_tags": F.size("tag_words"),
                 "n_rare": F.size(F.filter("tag_words", lambda word: F.length(word) > 8)),
+                "n_meta": F.size("meta_words"),
             }
             return linear_scorer(*model)(df.withColumns(counts)).drop(*counts)
 
         return score
 
-    found = score_pages(rows, snapshots, PLAIN, stop_list(spark), counting(first), counting(second))
-    table = result_rows(found, ROOT, day())
-    return table.withColumns({name: F.round(name, 9) for name in ("logits_main", "logits_sub")})
+    main, sub = map(counting, JOB_MODELS)
+
+    def score(rows):
+        return score_pages(rows, store, PLAIN, stop_list(spark), main, sub, tasks=8)
+
+    table = staged.drop("html", "content").withColumnsRenamed(
+        {"offset": "id", "website_name": "sname", "file_path": "snapshot"}
+    )
+    job = archiving(score, store, archive, ROOT, day(), tasks=8)
+    for _ in range(2):  # the second run finds nothing new
+        run_above_mark(table, job, stage.result, stage.marks)
+    kept = results.read_result(spark, stage.result, CASCADE_RESULT)
+    kept = files.fetch_snapshots(kept, archive, "nwdz", "copy", tasks=8)
+    return kept.withColumn("n_archived", F.length("copy").cast("long")).drop("copy").withColumns(
+        {name: F.round(name, 9) for name in ("logits_main", "logits_sub")}
+    )
 
 
 def backup_purge(spark, folder):
@@ -661,6 +711,7 @@ QUERIES = {
     "path_rewrite": path_rewrite,
     "bucket_map": bucket_map,
     "archive_positives": archive_positives,
+    "snapshot_read": snapshot_read,
     "score_job": score_job,
     "backup_purge": backup_purge,
     "stream_incremental": stream_incremental,

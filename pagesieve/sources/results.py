@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pagesieve.functions.paths import archive_path, first_segment
 from pagesieve.operators.skew import skew_join
+from pagesieve.sources.files import place_of
 
 # Column types of the result table in a database.
 DATABASE_TYPES = {
@@ -110,8 +111,8 @@ def copy_files(df: DataFrame, source: str, target: str) -> DataFrame:
         from pyarrow import fs
 
         def one(src: str, dst: str) -> bool:
-            from_fs, from_path = fs.FileSystem.from_uri(src)
-            to_fs, to_path = fs.FileSystem.from_uri(dst)
+            from_fs, from_path = place_of(src)
+            to_fs, to_path = place_of(dst)
             to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
             try:
                 fs.copy_files(from_path, to_path, from_fs, to_fs)

@@ -120,6 +120,24 @@ def test_whole_job_on_han_pages(spark):
         assert two[0]["file_path"] == "d/1.html"
 
 
+def test_archiving_job_repeated(spark, tmp_path):
+    """Copies come before the stored rows; a second handling of the batch changes nothing."""
+    for name in ("1", "2"):
+        (tmp_path / "store" / "d").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "store" / "d" / f"{name}.html").write_text(name)
+    rows = spark.createDataFrame([page(1, 2.0), page(2, -2.0), page(3, 2.0)], ROWS)
+    archive_job = scoring.archiving(
+        lambda df: scoring.cascade(df, scoring.linear_scorer({"x": 1.0}, 0.0)),
+        str(tmp_path / "store"), str(tmp_path / "kept"), "root", now(),
+    )
+    result, saved = str(tmp_path / "result"), str(tmp_path / "marks")
+    for _ in range(2):
+        handle_batch(rows, 0, archive_job, result, saved)
+    stored = results.read_result(spark, result, RESULT).collect()
+    assert sorted(row["nwdz"] for row in stored) == ["root/2024-01-31/1.html", "root/2024-01-31/3.html"]
+    assert [path.name for path in (tmp_path / "kept").rglob("*.html")] == ["1.html"]
+
+
 def test_training(spark):
     rows = []
     for at in range(40):

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pagesieve.schemas import INCOMING
-from pagesieve.sources import lines, marks, pages, results
+from pagesieve.sources import files, lines, marks, pages, results
 from pagesieve.sources.params import read_params
 
 
@@ -69,6 +69,21 @@ def test_snapshots(spark, tmp_path):
     assert {row["file_path"] for row in every} == {"a/1.html", "a/2.html", "3.txt"}
 
 
+def test_snapshots_by_name(spark, tmp_path):
+    stored = [("a/1.html", "网贷\r\n".encode()), ("a/2.html", b"\xff\xfe"), ("b/3.html", b""), (None, b"x"), ("c", None)]
+    df = spark.createDataFrame(stored, "file_path string, content binary")
+    sizes = files.store_snapshots(df, str(tmp_path)).collect()
+    assert {tuple(row) for row in sizes} == {("a/1.html", 8), ("a/2.html", 2), ("b/3.html", 0)}
+    names = ["a/1.html", "a/1.html", "a/2.html", "b/3.html", "b/missing.html", None]
+    rows = spark.createDataFrame([(at, name, "old") for at, name in enumerate(names)], "id int, file_path string, html string")
+    expected = [(0, "网贷\r\n"), (1, "网贷\r\n"), (2, None), (3, ""), (4, None), (5, None)]
+    for root, tasks in ((str(tmp_path), None), (f"file://{tmp_path}/", 3)):
+        found = files.fetch_snapshots(rows, root, tasks=tasks)
+        assert found.columns == ["id", "file_path", "html"]
+        assert sorted((row["id"], row["html"]) for row in found.collect()) == expected
+    assert files.fetch_snapshots(rows.where("id < 0"), str(tmp_path)).count() == 0
+
+
 def test_copies(spark, tmp_path):
     (tmp_path / "1.html").write_text("x")
     rows = [(f"file://{tmp_path}/{name}", f"file://{tmp_path}/new/2024-01-31/{name}") for name in ("1.html", "2.html")]
