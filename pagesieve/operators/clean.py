@@ -20,6 +20,7 @@ from pagesieve.functions.text import (
 from pagesieve.operators.segment import segment
 from pagesieve.operators.stopwords import drop_stop_words
 from pagesieve.operators.tfidf import TOP_WORDS, top_words, word_lists
+from pagesieve.session import stored
 
 # Adds a word list for each text: columns maps the text's name to that of the list.
 Splitter = Callable[[DataFrame, str, dict[str, str]], DataFrame]
@@ -51,6 +52,8 @@ class Cleaning:
     """How texts become words. The defaults are those for Han text."""
 
     splitter: Splitter
+    #: Cutting a text costs more than storing its words, so no text is cut twice.
+    costly: bool = True
     keep: str | None = HAN
     aliases: Iterable[tuple[str, str]] = ALIASES
     alias_meta: bool = True
@@ -89,6 +92,8 @@ def clean_text(
         key,
         F.filter("body_words", lambda word: F.length(word) >= how.min_tag_length).alias("body_words"),
     )
+    if frequencies is None and how.costly:  # two passes: document counts, then ranks
+        body = stored(body, "body-words")
     ranked = top_words(body, key, "body_words", frequencies, how.topn, n_rows)
     tags = word_lists(ranked, key, "rank", "tag_words")
     joined = rows.join(tags, key, "left").withColumn(

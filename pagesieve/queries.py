@@ -25,7 +25,7 @@ from pagesieve.functions.text import (
     restore_aliases,
 )
 from pagesieve.operators.clean import Cleaning, clean_text, joined_text, letter_splitter
-from pagesieve.operators.encode import BODY_LENGTH, META_LENGTH, encode
+from pagesieve.operators.encode import encode
 from pagesieve.operators.features import join_features, page_features
 from pagesieve.operators.metrics import evaluate
 from pagesieve.operators.ngrams import runs_of
@@ -63,7 +63,7 @@ LINKS = {
     "description": AttrRule("class", "", "class"),
 }
 BUCKETS = {"share_disk": "first-bucket", "datanfs": "second-bucket"}
-PLAIN = Cleaning(letter_splitter(), keep=None, aliases=())
+PLAIN = Cleaning(letter_splitter(), costly=False, keep=None, aliases=())
 
 # Fixed linear models. The first two read documents, the third one pages.
 MAIN = ({"k_chars": 0.5, "n_words": -0.002}, -0.3)
@@ -305,7 +305,7 @@ def embedding_pool(spark, folder):
         embeddings(spark, folder),
         vocabulary.select("id", "freq"),
         "freq",
-        most=n_documents(spark, folder) * (BODY_LENGTH + META_LENGTH),
+        most=n_documents(spark, folder),
     )
     from pyspark.ml.functions import vector_to_array
 
