@@ -260,7 +260,13 @@ ORACLES = {
     "stream_replay": MARKED,
     "stream_new_checkpoint": MARKED,
     "reset_resume": f"WITH {FIELDS}, {RESULT} SELECT * FROM result WHERE \"offset\" > 0",
-    "batch_incremental": f"{MARKED} WHERE \"offset\" > 0",
+    "batch_incremental": f"""WITH {FIELDS}, {RESULT}
+        SELECT *, (SELECT max(page_id) FROM pages) AS mark, count(*) OVER () AS n_first, 0 AS n_second
+        FROM result WHERE "offset" > 0""",
+    "split_words": f"WITH {WORDS} SELECT doc_id, len(words) AS n_words, array_to_string(words, ',') AS words FROM docs",
+    "model_reload": "SELECT doc_id, TRUE AS same FROM documents SEMI JOIN labels USING (doc_id)",
 }
 ORACLES["stopword_join"] = ORACLES["stopword_filter"]
 ORACLES["csv_roundtrip"] = ORACLES["score_batches"]
+ORACLES["vocab_size_file"] = ORACLES["vocab_count"]
+ORACLES["metrics_file"] = f"SELECT * REPLACE (n_rows::DOUBLE AS n_rows) FROM ({ORACLES['eval_metrics']})"

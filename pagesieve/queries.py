@@ -23,11 +23,12 @@ from pagesieve.functions.text import (
     merge_meta,
     replace_aliases,
     restore_aliases,
+    split_words,
 )
 from pagesieve.operators.clean import Cleaning, clean_text, joined_text, letter_splitter
 from pagesieve.operators.encode import encode
 from pagesieve.operators.features import join_features, page_features
-from pagesieve.operators.metrics import evaluate
+from pagesieve.operators.metrics import evaluate, write_metrics
 from pagesieve.operators.ngrams import runs_of
 from pagesieve.operators.pooling import pool_vectors, rounded
 from pagesieve.operators.segment import segment
@@ -49,7 +50,7 @@ from pagesieve.plans.training import load_model, save_model, train
 from pagesieve.schemas import CASCADE_RESULT, RESULT
 from pagesieve.session import new_folder, stored
 from pagesieve.sources import files, lines, marks, pages, results
-from pagesieve.sources.params import TrainingParams
+from pagesieve.sources.params import TrainingParams, read_params
 from pagesieve.sources.tables import read_table
 from pagesieve.streaming.batch import run_above_mark
 from pagesieve.streaming.incremental import run_incremental, stream_rows
@@ -195,7 +196,11 @@ def alias_replace(spark, folder):
 
 
 def stopword_filter(spark, folder):
-    kept = drop_stop_words(words_of(spark, folder), "doc_id", ["words"], stop_list(spark))
+    """The stop words come from a text file."""
+    path = new_folder(spark, "stop-words")
+    stop_list(spark).write.text(path)
+    listed = lines.read_stop_words(spark, path)
+    kept = drop_stop_words(words_of(spark, folder), "doc_id", ["words"], listed)
     return kept.select("doc_id", join_words(F.col("words")).alias("kept"))
 
 
@@ -252,6 +257,21 @@ def vocab_count(spark, folder):
     return vocabulary_size(frequencies).select((F.col("n_words") + 1).alias("n_words"))
 
 
+def vocab_size_file(spark, folder):
+    """The vocabulary's size, written as a text file and read again."""
+    path = new_folder(spark, "vocabulary-size")
+    lines.write_vocabulary_size(vocab_build(spark, folder), path)
+    return spark.read.text(path).select(F.col("value").cast("long").alias("n_words"))
+
+
+def split_again(spark, folder):
+    """Word lists joined to one text, as records store them, and split again."""
+    again = split_words(join_words(F.col("words")))
+    return words_of(spark, folder).select(
+        "doc_id", F.size(again).cast("long").alias("n_words"), F.array_join(again, ",").alias("words")
+    )
+
+
 def vocab_files(spark, folder):
     """The vocabulary written as a word list and read again: ids are line numbers."""
     path = new_folder(spark, "vocabulary")
@@ -290,8 +310,11 @@ def encode_pad(spark, folder):
 
 
 def ngram_features(spark, folder):
+    """Runs of the lengths that a parameter file names."""
+    path = new_folder(spark, "params")
+    spark.range(1).select(F.lit("1, 2,3").alias("filter_sizes")).write.json(path)
     tags = word_lists(tfidf_topk(spark, folder), "doc_id")
-    return runs_of(tags, "doc_id", "words", TrainingParams().filter_sizes)
+    return runs_of(tags, "doc_id", "words", read_params(spark, path).filter_sizes)
 
 
 def embedding_pool(spark, folder):
@@ -371,6 +394,13 @@ def eval_metrics(spark, folder):
     return quality.select("n_rows", *(F.round(name, 6).alias(name) for name in quality.columns[1:]))
 
 
+def metrics_file(spark, folder):
+    """The metrics as a JSON file of doubles, read again."""
+    path = new_folder(spark, "metrics")
+    write_metrics(eval_metrics(spark, folder), path)
+    return spark.read.json(path)
+
+
 def csv_roundtrip(spark, folder):
     path = new_folder(spark, "scores")
     scores = scored_documents(spark, folder).select("doc_id", "classes", "probability")
@@ -392,6 +422,23 @@ def train_classifier(spark, folder):
     return evaluate(pipeline_scorer(load_model(path))(held_out))
 
 
+def model_reload(spark, folder):
+    """A model saved and loaded scores every labelled document as the one in memory does."""
+    words = words_of(spark, folder).select(
+        "doc_id", F.slice("words", 1, 20).alias("tag_words"), F.slice("words", 21, 60).alias("meta_words")
+    )
+    labels = read_table(spark, folder, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
+    rows = words.join(labels, "doc_id")
+    model = train(rows, TrainingParams([1], 0.01, 3, 1 << 10))
+    path = new_folder(spark, "model")
+    save_model(model, path)
+    both = pipeline_scorer(model)(rows).withColumnRenamed("classes", "before")
+    both = both.withColumnRenamed("probabilities", "p_before")
+    again = pipeline_scorer(load_model(path))(both)
+    same = (F.col("classes") == F.col("before")) & (F.col("probabilities") == F.col("p_before"))
+    return again.select("doc_id", same.alias("same"))
+
+
 # -- results
 
 
@@ -655,9 +702,10 @@ def batch_incremental(spark, folder):
     table = page_rows(spark, folder).withColumnsRenamed(
         {"offset": "id", "website_name": "sname", "file_path": "snapshot"}
     )
-    run_above_mark(table, result_of, stage.result, stage.marks)
-    run_above_mark(table, result_of, stage.result, stage.marks)
-    return stage.outcome()
+    first, second = (run_above_mark(table, result_of, stage.result, stage.marks) for _ in range(2))
+    return stage.outcome().withColumns(
+        {"n_first": F.lit(first).cast("long"), "n_second": F.lit(second).cast("long")}
+    )
 
 
 def reset_resume(spark, folder):
@@ -694,6 +742,8 @@ QUERIES = {
     "segment_text": segment_text,
     "vocab_build": vocab_build,
     "vocab_count": vocab_count,
+    "vocab_size_file": vocab_size_file,
+    "split_words": split_again,
     "vocab_files": vocab_files,
     "word_vectors": word_vectors,
     "encode_pad": encode_pad,
@@ -703,7 +753,9 @@ QUERIES = {
     "score_batches": score_batches,
     "cascade": cascade_query,
     "eval_metrics": eval_metrics,
+    "metrics_file": metrics_file,
     "csv_roundtrip": csv_roundtrip,
+    "model_reload": model_reload,
     "train_classifier": train_classifier,
     "positive_projection": positive_projection,
     "append_result": append_query,
