@@ -155,7 +155,11 @@ def parse_fields(html: str | None, rules: Mapping[str, tuple], want_title: bool)
 def page_fields(
     html: Column, rules: Mapping[str, AttrRule] = META_RULES, title: bool = True
 ) -> Column:
-    """One struct with ``title`` (if asked for) and a field for every rule."""
+    """One struct with ``title`` (if asked for) and a field for every rule.
+
+    Filters on other columns pass below the parse, to the scan. One on a field of the struct would
+    take a parse of its own below it: store the fields first.
+    """
     compiled = {
         field: (rule.match_attr, re.compile(rule.pattern, re.IGNORECASE), rule.out_attr)
         for field, rule in rules.items()
@@ -169,8 +173,7 @@ def page_fields(
         rows = [[found.get(name) for name in names] for found in parsed]
         return pd.DataFrame(rows, columns=names, dtype=object)
 
-    # A filter on a field must not be pushed below the parse, which would then run twice.
-    return fields.asNondeterministic()(html)
+    return fields(html)
 
 
 def page_title(html: Column) -> Column:

@@ -168,7 +168,8 @@ def feature_left_join(spark, folder):
     """Pages with no own link have no features here, those with a markup sign in the title two."""
     table = web_pages(spark, folder)
     features = page_features(table.withColumnRenamed("url", "file_path"), LINKS, LETTERS, aliases=())
-    features = features.where("keywords is not null").select("file_path", "title", "keywords")
+    features = stored(features.select("file_path", "title", "keywords"), "fields")
+    features = features.where("keywords is not null")
     doubled = features.unionByName(features.where(F.col("title").contains("&")))
     rows = table.select("page_id", F.col("url").alias("file_path"))
     return join_features(rows, doubled, "page_id").select("page_id", "file_path", "title", "keywords")

@@ -174,6 +174,15 @@ def test_filters_do_not_repeat_python(spark):
     assert text.count("ArrowEvalPython") == 3
 
 
+def test_filters_on_keys_reach_the_scan(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "<title>a</title>"), (2, "<title>b</title>")], "page_id long, html string")
+    rows.write.parquet(str(tmp_path / "pages"))
+    df = page_features(spark.read.parquet(str(tmp_path / "pages"))).where("page_id > 1")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(page_id,1)" in plan and plan.count("ArrowEvalPython") == 1
+    assert [row["title"] for row in df.collect()] == ["b"]
+
+
 def test_scored_sample(spark, tmp_path):
     rows = [(at, "网贷", "", "", "理财", "trainset" if at else "testset") for at in range(4)]
     names = ("title", "keywords", "description", "corpus", "class")
