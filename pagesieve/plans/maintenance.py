@@ -26,11 +26,29 @@ def backup_table(spark: SparkSession, table: str, day: date, folder: str | None
     return copy
 
 
+def _location(spark: SparkSession, table: str):
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'")
+    return spark._jvm.org.apache.hadoop.fs.Path(described.first()["data_type"])
+
+
+def _drop_with_files(spark: SparkSession, table: str, folder: str | None) -> None:
+    """Drop a table, and its files too where ``save_table`` put them below ``folder``."""
+    place = _location(spark, table)
+    spark.sql(f"DROP TABLE {table}")
+    if folder:  # a table outside the warehouse, whose files Spark leaves
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        parent = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/"))
+        if files.makeQualified(parent).equals(files.makeQualified(place.getParent())):
+            files.delete(place, True)
+
+
 def purge_table(spark: SparkSession, table: str, mark: int, folder: str | None = None) -> None:
     """Drop rows with ``offset < mark``.
 
     The rows that stay are written as a new table, which takes the old one's name only once it is
-    complete. Files are never changed in place.
+    complete. Files are never changed in place; the old ones go once the new table has its name.
+    A purge that breaks off between the two renames leaves ``<table>_old`` and ``<table>_kept``,
+    both whole, and the next one says so.
     """
     kept, old = f"{table}_kept", f"{table}_old"
     for leftover in (kept, old):
@@ -39,7 +57,7 @@ def purge_table(spark: SparkSession, table: str, mark: int, folder: str | None =
     save_table(spark.table(table).where(F.col("offset") >= mark), kept, folder)
     spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {kept} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    _drop_with_files(spark, old, folder)
 
 
 def maintain(

@@ -1,4 +1,5 @@
 import datetime
+import os
 
 import numpy as np
 import pytest
@@ -313,6 +314,10 @@ def test_upkeep(spark):
         maintenance.backup_table(spark, table, day, folder)
     maintenance.purge_table(spark, table, 8, folder)
     assert sorted(row["offset"] for row in spark.table(table).collect()) == [8, 9]
+    # Only the table as it is now and its backup have files left.
+    place = folder.split(":", 1)[-1]
+    assert sum(name.startswith("t_") for name in os.listdir(place)) == 2
+    assert spark.table(copy).count() == 10
 
 
 def test_csv_scores(spark, tmp_path):
