@@ -183,6 +183,11 @@ ORACLES = {
           coalesce(array_to_string(list_filter(tag_words, lambda w: w NOT IN ({STOPS})), ' '), '') AS tag_words,
           array_to_string(list_filter(words, lambda w: w NOT IN ({STOPS})), ' ') AS meta_words
         FROM metas LEFT JOIN tags USING (doc_id)""",
+    "segment_text": f"""WITH {WORDS}, {ALL_WORDS}, freqs AS (SELECT word, count(*) AS freq FROM all_words GROUP BY word),
+        weights AS (SELECT word, ln(freq::DOUBLE / (SELECT sum(freq) FROM freqs)::DOUBLE) AS weight FROM freqs),
+        sums AS (SELECT doc_id, sum(weight) AS weight FROM all_words JOIN weights USING (word) GROUP BY doc_id)
+        SELECT doc_id, round(coalesce(weight, 0), 4) AS spaced_weight, TRUE AS rebuilt, TRUE AS no_worse
+        FROM docs LEFT JOIN sums USING (doc_id)""",
     "vocab_build": f"WITH {WORDS}, {ALL_WORDS}, {VOCABULARY} SELECT word, id, freq FROM vocabulary",
     "vocab_count": f"WITH {WORDS}, {ALL_WORDS} SELECT count(DISTINCT word) + 1 AS n_words FROM all_words",
     "vocab_files": f"WITH {WORDS}, {ALL_WORDS}, {VOCABULARY} SELECT word, id FROM vocabulary",

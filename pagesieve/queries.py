@@ -24,6 +24,7 @@ from pagesieve.functions.text import (
     replace_aliases,
     restore_aliases,
     split_words,
+    word_counts,
 )
 from pagesieve.operators.clean import Cleaning, clean_text, joined_text, letter_splitter
 from pagesieve.operators.encode import encode
@@ -32,6 +33,7 @@ from pagesieve.operators.metrics import evaluate, write_metrics
 from pagesieve.operators.ngrams import runs_of
 from pagesieve.operators.pooling import pool_vectors, rounded
 from pagesieve.operators.segment import segment
+from pagesieve.operators.skew import skew_join
 from pagesieve.operators.stopwords import drop_stop_words
 from pagesieve.operators.tfidf import document_frequencies, top_words, word_lists
 from pagesieve.operators.vocabulary import number_words, vocabulary_size, word_frequencies
@@ -236,13 +238,38 @@ def clean_query(spark, folder):
     return joined_text(cleaned, ()).select("doc_id", "tag_words", "meta_words")
 
 
-def segment_text(spark, folder):
-    """Texts without their spaces, cut again by the words of the corpus."""
+def cut_weights(spark, folder):
+    """Texts without their spaces, cut again by the words of the corpus: the weight of the cut and
+    of the words that were there, and whether the pieces give the text again."""
     words = words_of(spark, folder)
-    dictionary = word_frequencies(words, "words")
-    unspaced = words.select("doc_id", F.array_join("words", "").alias("text"))
-    return segment(unspaced, "doc_id", {"text": "cut"}, dictionary).select(
-        "doc_id", F.size("cut").alias("n_words"), join_words(F.col("cut")).alias("cut")
+    dictionary = stored(word_frequencies(words, "words"), "dictionary")
+    unspaced = words.withColumn("text", F.array_join("words", ""))
+    found = stored(segment(unspaced, "doc_id", {"text": "cut"}, dictionary), "cut")
+    n_words = dictionary.agg(F.sum("freq")).scalar()
+    weights = dictionary.select("word", F.ln(F.col("freq") / n_words).alias("weight"))
+    lists = F.explode(F.array(*(F.struct(F.lit(of).alias("of"), F.col(of).alias("words")) for of in ("cut", "words"))))
+    counted = found.select("doc_id", lists.alias("list")).select(
+        "doc_id", "list.of", F.explode(word_counts(F.col("list.words"))).alias("entry")
+    )
+    pieces = counted.select("doc_id", "of", "entry.word", "entry.tf")
+    weighed = skew_join(pieces, weights, "word", spread=[F.col("doc_id")])
+    weight = F.coalesce("weight", -F.ln(n_words)) * F.col("tf")  # characters that are no word
+
+    def total(of):
+        return F.sum(F.when(F.col("of") == of, weight))
+
+    sums = weighed.groupBy("doc_id").agg(total("cut").alias("weight"), total("words").alias("spaced_weight"))
+    rebuilt = (F.array_join("cut", "") == F.col("text")).alias("rebuilt")
+    return found.select("doc_id", rebuilt).join(sums, "doc_id", "left")
+
+
+def segment_text(spark, folder):
+    """No text is cut worse than its own words cut it."""
+    return cut_weights(spark, folder).select(
+        "doc_id",
+        F.round(F.coalesce("spaced_weight", F.lit(0.0)), 4).alias("spaced_weight"),
+        F.coalesce("rebuilt", F.lit(True)).alias("rebuilt"),
+        F.coalesce(F.col("weight") > F.col("spaced_weight") - 1e-6, F.lit(True)).alias("no_worse"),
     )
 
 

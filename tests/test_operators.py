@@ -12,7 +12,7 @@ from pagesieve.operators.encode import encode
 from pagesieve.operators.metrics import evaluate, write_metrics
 from pagesieve.operators.ngrams import runs_of
 from pagesieve.operators.pooling import pool_vectors
-from pagesieve.operators.segment import cut, segment, with_beginnings
+from pagesieve.operators.segment import cut, pieces_of, segment, with_beginnings, word_filter
 from pagesieve.operators.skew import skew_join
 from pagesieve.operators.stopwords import drop_stop_words
 from pagesieve.operators.tfidf import document_frequencies, top_words, word_lists
@@ -136,7 +136,7 @@ def test_cut_finds_the_best_path():
         assert sum(weights.get(word, floor) for word in found) == pytest.approx(best_cut(text, weights, floor))
 
 
-def test_segment_both_ways(spark):
+def test_segment(spark):
     dictionary = spark.createDataFrame(
         [("网贷", 50), ("平台", 40), ("网贷平台", 1), ("理财", 30), ("理", 2), ("", 5)], "word string, freq long"
     )
@@ -144,9 +144,36 @@ def test_segment_both_ways(spark):
         [(1, "网贷平台理财理x"), (2, ""), (3, None), (4, "无词")], "id long, text string"
     )
     expected = {1: ["网贷", "平台", "理财", "理", "x"], 2: [], 3: [], 4: ["无", "词"]}
-    for sent_words in (100, 0):
-        found = segment(df, "id", {"text": "words"}, dictionary, sent_words)
-        assert {row["id"]: row["words"] for row in found.collect()} == expected
+    for piece_rows in (100, 1):
+        both = df.withColumn("again", F.concat("text", F.lit("平台")))
+        found = segment(both, "id", {"text": "words", "again": "more"}, dictionary, piece_rows).collect()
+        assert {row["id"]: row["words"] for row in found} == expected
+        assert {row["id"]: row["more"] for row in found} == {
+            at: [*words, "平台"] if at != 3 else [] for at, words in expected.items()
+        }
+
+
+def test_segment_without_dictionary(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None)], "id long, text string")
+    nothing = spark.createDataFrame([], "word string, freq long")
+    found = segment(df, "id", {"text": "words"}, nothing).collect()
+    assert {row["id"]: row["words"] for row in found} == {1: ["a", "b"], 2: []}
+    assert segment(df.where("id > 5"), "id", {"text": "words"}, nothing).isEmpty()
+
+
+@pytest.mark.parametrize("bits", [20, 6])
+def test_pieces_hold_every_word(spark, bits):
+    """Also where the filter is much too small: it may let more through, never less."""
+    random.seed(7)
+    words = {"".join(random.choices("abc网😀", k=random.randint(1, 7))) for _ in range(40)}
+    dictionary = spark.createDataFrame([(word,) for word in words], "word string").repartition(3)
+    table = word_filter(dictionary, bits)
+    texts = ["".join(random.choices("abc网😀 ", k=random.randint(0, 60))) for _ in range(50)]
+    for text, pieces in zip(texts, pieces_of(texts, table, bits), strict=True):
+        every = {text[a:b] for a in range(len(text)) for b in range(a + 1, len(text) + 1)}
+        assert every & words <= pieces <= every
+        if bits == 20:
+            assert pieces == every & words
 
 
 # -- cleaning
