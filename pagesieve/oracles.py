@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagesieve.queries import ALIAS, BUCKETS, DAY, JOB_MODELS, MAIN, PAGES, ROOT, STOP_WORDS, SUB
+from pagesieve.queries import ALIAS, BUCKETS, DAY, JOB_MODELS, MAIN, PAGES, ROOT, SAMPLE, STOP_WORDS, SUB
 
 # Patterns
 NO_LETTER = r"[^\p{L}]"
@@ -90,6 +90,7 @@ def _positive(model: tuple, columns: dict[str, str]) -> str:
 
 DOCUMENT = {"k_chars": "n_chars / 1000.0::DOUBLE", "n_words": "len(words)"}
 P_MAIN, P_SUB = _positive(MAIN, DOCUMENT), _positive(SUB, DOCUMENT)
+P_SAMPLE = _positive(SAMPLE, {"n_tags": "n_tags", "n_meta": "n_meta"})
 P_PAGE = _positive(PAGES, {"n_title": "coalesce(length(title), 0)", "n_letters": "length(letters)"})
 SCORED = f"{WORDS}, scored_docs AS (SELECT *, {P_MAIN} AS p FROM docs)"
 CLASSIFIED = """
@@ -268,6 +269,28 @@ ORACLES = {
     "batch_incremental": f"""WITH {FIELDS}, {RESULT}
         SELECT *, (SELECT max(page_id) FROM pages) AS mark, count(*) OVER () AS n_first, 0 AS n_second
         FROM result WHERE "offset" > 0""",
+    "job_upkeep": f"""WITH {FIELDS}, {RESULT},
+        secure AS (SELECT max(page_id) // 2 AS half FROM pages WHERE page_id > 0 AND starts_with(url, 'https'))
+        SELECT *, 'backup' AS place FROM result WHERE "offset" > 0 AND starts_with(url, 'https')
+        UNION ALL
+        SELECT result.*, 'table' FROM result, secure
+        WHERE "offset" > 0 AND ("offset" >= half OR NOT starts_with(url, 'https'))""",
+    "train_classifier": f"""WITH {WORDS}, {CLASSIFIED}
+        SELECT count(*) AS n_rows, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, TRUE AS beats_majority
+        FROM classified WHERE class = 'testset'""",
+    "sample_scores": f"""WITH {WORDS.replace("docs AS", "every AS")}, {CLASSIFIED.replace("FROM docs", "FROM every")},
+        docs AS (SELECT * FROM classified WHERE class = 'testset' ORDER BY doc_id LIMIT 100),
+        {ALL_WORDS}, {COUNTED}, {_ranked(
+            "SELECT word, count(*) AS df FROM counted GROUP BY word", "SELECT count(*) FROM docs")}, {TAGS},
+        sizes AS (
+          SELECT doc_id, coalesce(len(list_filter(tag_words, lambda w: w NOT IN ({STOPS}))), 0) AS n_tags,
+            coalesce(len(list_filter(
+              string_split_regex(lower(source || lang || text), '{NO_LETTER}+'),
+              lambda w: length(w) >= 2 AND w NOT IN ({STOPS}))), 0) AS n_meta
+          FROM docs LEFT JOIN tags USING (doc_id)),
+        scored_docs AS (SELECT doc_id, {P_SAMPLE} AS p FROM sizes)
+        SELECT doc_id, CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS classes, round(greatest(p, 1 - p), 9) AS probability
+        FROM scored_docs""",
     "split_words": f"WITH {WORDS} SELECT doc_id, len(words) AS n_words, array_to_string(words, ',') AS words FROM docs",
     "model_reload": "SELECT doc_id, TRUE AS same FROM documents SEMI JOIN labels USING (doc_id)",
 }

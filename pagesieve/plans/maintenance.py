@@ -7,18 +7,39 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagesieve.sources.marks import reset_mark
+from pagesieve.sources.results import Sink
 
 
 def save_table(df: DataFrame, table: str, folder: str | None = None, mode: str = "errorifexists") -> None:
     """Store as a catalog table, below ``folder`` where given, else in the warehouse."""
     writer = df.write.mode(mode).format("parquet")
+    if "batch_id" in df.columns:  # a job's result keeps its batches apart
+        writer = writer.partitionBy("batch_id")
     if folder:
         writer = writer.option("path", f"{folder.rstrip('/')}/{table}-{uuid.uuid4().hex}")
     writer.saveAsTable(table)
 
 
+def table_sink(table: str, folder: str | None = None) -> Sink:
+    """A sink for the incremental jobs: every batch a partition of a catalog table, made by the
+    first one. A repeated batch replaces its own. Upkeep works on the same name, so the next
+    batch goes to the table as it is then; a batch repeated after its rows were purged is new."""
+
+    def write(rows: DataFrame, batch: str) -> None:
+        spark = rows.sparkSession
+        if not spark.catalog.tableExists(table):
+            schema = T.StructType([*rows.schema, T.StructField("batch_id", T.StringType())])
+            save_table(spark.createDataFrame([], schema), table, folder)
+        columns = ", ".join(f"`{name}`" for name in spark.table(table).columns if name != "batch_id")
+        insert = f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = '{batch}') SELECT {columns} FROM {{rows}}"
+        spark.sql(insert, rows=rows)
+
+    return write
+
+
 def backup_table(spark: SparkSession, table: str, day: date, folder: str | None = None) -> str:
     """Copy the table to ``<table>_yyyy_MM_dd_bak``; fails if that day's copy exists."""
     copy = f"{table}_{day:%Y_%m_%d}_bak"

@@ -8,8 +8,10 @@ from __future__ import annotations
 import datetime
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagesieve.functions.domains import host_of, top_domain
 from pagesieve.functions.html import AttrRule, page_attr, page_title
@@ -47,6 +49,7 @@ from pagesieve.plans.scoring import (
     pipeline_scorer,
     result_rows,
     score_pages,
+    score_sample,
 )
 from pagesieve.plans.training import load_model, save_model, train
 from pagesieve.schemas import CASCADE_RESULT, RESULT
@@ -71,6 +74,7 @@ PLAIN = Cleaning(letter_splitter(), costly=False, keep=None, aliases=())
 # Fixed linear models. The first two read documents, the third one pages.
 MAIN = ({"k_chars": 0.5, "n_words": -0.002}, -0.3)
 SUB = ({"k_chars": -0.25, "n_words": 0.001}, 0.4)
+SAMPLE = ({"n_tags": 0.1, "n_meta": -0.01}, 0.2)
 PAGES = ({"n_title": 0.05, "n_letters": -0.0004}, -1.5)
 
 
@@ -86,11 +90,6 @@ def web_pages(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "pages")
 
 
-def n_documents(spark: SparkSession, folder: str) -> int:
-    """Their number, from the files' footers."""
-    return read_table(spark, folder, "documents").count()
-
-
 def words_of(spark: SparkSession, folder: str) -> DataFrame:
     return documents(spark, folder, "text").select("doc_id", letter_words(F.col("text")).alias("words"))
 
@@ -214,8 +213,7 @@ def stopword_join(spark, folder):
 
 
 def tfidf_topk(spark, folder):
-    n_texts = n_documents(spark, folder)
-    return top_words(words_of(spark, folder), "doc_id", "words", n_texts=n_texts)
+    return top_words(words_of(spark, folder), "doc_id", "words")
 
 
 def tfidf_known(spark, folder):
@@ -223,7 +221,7 @@ def tfidf_known(spark, folder):
     words = words_of(spark, folder)
     labelled = read_table(spark, folder, "labels").select("doc_id")
     known = document_frequencies(words.join(labelled, "doc_id", "left_semi"), "words")
-    return top_words(words, "doc_id", "words", known, n_texts=n_documents(spark, folder))
+    return top_words(words, "doc_id", "words", known)
 
 
 def as_features(table: DataFrame, *others: str) -> DataFrame:
@@ -233,8 +231,7 @@ def as_features(table: DataFrame, *others: str) -> DataFrame:
 
 def clean_query(spark, folder):
     table = as_features(documents(spark, folder, "text", "source", "lang"))
-    n_rows = n_documents(spark, folder)
-    cleaned = clean_text(table, "doc_id", stop_list(spark), PLAIN, n_rows=n_rows)
+    cleaned = clean_text(table, "doc_id", stop_list(spark), PLAIN)
     return joined_text(cleaned, ()).select("doc_id", "tag_words", "meta_words")
 
 
@@ -325,11 +322,11 @@ def word_vectors(spark, folder):
 
 
 def encoded(spark, folder, vocabulary):
-    words, n_texts = words_of(spark, folder), n_documents(spark, folder)
-    ranked = top_words(words, "doc_id", "words", n_texts=n_texts)
+    words = words_of(spark, folder)
+    ranked = top_words(words, "doc_id", "words")
     tags = word_lists(ranked, "doc_id", "rank", "tag_words")
     both = words.withColumnRenamed("words", "meta_words").join(tags, "doc_id", "left")
-    return encode(both, "doc_id", vocabulary, n_rows=n_texts)
+    return encode(both, "doc_id", vocabulary)
 
 
 def encode_pad(spark, folder):
@@ -356,10 +353,7 @@ def embedding_pool(spark, folder):
         embeddings(spark, folder),
         vocabulary.select("id", "freq"),
         "freq",
-        most=n_documents(spark, folder),
     )
-    from pyspark.ml.functions import vector_to_array
-
     both = F.arrays_zip(
         rounded(vector_to_array("max_vector"), 6).alias("max_v"),
         rounded(vector_to_array("mean_vector"), 6).alias("mean_v"),
@@ -438,26 +432,53 @@ def csv_roundtrip(spark, folder):
 
 
 def train_classifier(spark, folder):
-    """Train, save, load, and evaluate on the rows held out."""
+    """Train, save, load, and evaluate on the rows held out: is it better than always the larger class?"""
     table = as_features(classified(spark, folder), "label", "class")
-    prepared = clean_text(table, "doc_id", stop_list(spark), PLAIN, n_rows=table.count())
+    prepared = clean_text(table, "doc_id", stop_list(spark), PLAIN)
     prepared = stored(prepared.select("doc_id", "tag_words", "meta_words", "label", "class"), "prepared")
     params = TrainingParams(l2_reg_lambda=0.01, num_epochs=20, num_features=1 << 14)
     columns = ["doc_id", "tag_words", "meta_words"]
     path = new_folder(spark, "model")
     save_model(train(pages.labelled_rows(prepared, "trainset", columns), params), path)
     held_out = pages.labelled_rows(prepared, "testset", columns)
-    return evaluate(pipeline_scorer(load_model(path))(held_out))
+    quality = evaluate(pipeline_scorer(load_model(path))(held_out))
+    beats = (F.col("accuracy") > F.col("majority")).alias("beats_majority")
+    return quality.select("n_rows", F.round("majority", 6).alias("majority"), beats)
+
+
+def sample_scores(spark, folder):
+    """The first rows of the test set, scored into a CSV file and read again."""
+    counts = {"n_tags": F.size("tag_words"), "n_meta": F.size("meta_words")}
+
+    def score(df):
+        return linear_scorer(*SAMPLE)(df.withColumns(counts)).drop(*counts)
+
+    path = new_folder(spark, "sample")
+    table = as_features(classified(spark, folder), "label", "class")
+    score_sample(table, "testset", "doc_id", PLAIN, stop_list(spark), score, path)
+    schema = T.StructType.fromDDL("doc_id long, probability double, classes int")
+    back = results.read_scores_csv(spark, path, schema)
+    return back.withColumn("probability", F.round("probability", 9))
 
 
 def model_reload(spark, folder):
-    """A model saved and loaded scores every labelled document as the one in memory does."""
+    """A model on words and pooled word vectors, saved and loaded, scores every labelled document
+    as the one in memory does. A word's vector is dealt to it by a hash."""
+    vectors = embeddings(spark, folder)
+    n_vectors, width = vectors.agg(F.count("*"), F.max(F.size("vector"))).first()
     words = words_of(spark, folder).select(
-        "doc_id", F.slice("words", 1, 20).alias("tag_words"), F.slice("words", 21, 60).alias("meta_words")
+        "doc_id",
+        F.slice("words", 1, 20).alias("tag_words"),
+        F.slice("words", 21, 60).alias("meta_words"),
+        F.transform("words", lambda word: F.pmod(F.xxhash64(word), F.lit(n_vectors)) + 1).alias("ids"),
     )
+    nothing = array_to_vector(F.array_repeat(F.lit(0.0), width))
     labels = read_table(spark, folder, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
-    rows = words.join(labels, "doc_id")
-    model = train(rows, TrainingParams([1], 0.01, 3, 1 << 10))
+    words = words.join(labels, "doc_id")
+    pooled = pool_vectors(words, "doc_id", "ids", vectors).select("doc_id", "mean_vector")
+    rows = words.drop("ids").join(pooled, "doc_id", "left")
+    rows = stored(rows.withColumn("mean_vector", F.coalesce("mean_vector", nothing)), "rows")
+    model = train(rows, TrainingParams([1], 0.01, 3, 1 << 10), ("mean_vector",))
     path = new_folder(spark, "model")
     save_model(model, path)
     both = pipeline_scorer(model)(rows).withColumnRenamed("classes", "before")
@@ -749,6 +770,24 @@ def reset_resume(spark, folder):
     return shown(results.read_result(spark, stage.result, RESULT))
 
 
+def job_upkeep(spark, folder):
+    """The job into a catalog table; that table backed up, purged below half the mark, the mark set
+    back; then a run over the pages that came since."""
+    place = new_folder(spark, "upkeep")
+    name, saved = f"positives_{place[-32:]}", f"{place}/marks"
+    sink = maintenance.table_sink(name, place)
+    table = page_rows(spark, folder).withColumnsRenamed(
+        {"offset": "id", "website_name": "sname", "file_path": "snapshot"}
+    )
+    secure = F.col("url").startswith("https")
+    run_above_mark(table.where(secure), result_of, sink, saved)
+    half = marks.read_mark(spark, saved) // 2
+    copy = maintenance.maintain(spark, name, saved, half, datetime.date(2024, 1, 31), place)
+    run_above_mark(table.where(~secure), result_of, sink, saved)
+    both = [shown(spark.table(of)).withColumn("place", F.lit(what)) for of, what in ((copy, "backup"), (name, "table"))]
+    return both[0].unionByName(both[1])
+
+
 QUERIES = {
     "incremental_scan": incremental_scan,
     "max_offset": max_offset,
@@ -784,6 +823,7 @@ QUERIES = {
     "metrics_file": metrics_file,
     "csv_roundtrip": csv_roundtrip,
     "model_reload": model_reload,
+    "sample_scores": sample_scores,
     "train_classifier": train_classifier,
     "positive_projection": positive_projection,
     "append_result": append_query,
@@ -800,4 +840,5 @@ QUERIES = {
     "stream_new_checkpoint": stream_new_checkpoint,
     "batch_incremental": batch_incremental,
     "reset_resume": reset_resume,
+    "job_upkeep": job_upkeep,
 }

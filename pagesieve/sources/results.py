@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,8 @@ from pagesieve.functions.paths import archive_path, first_segment
 from pagesieve.operators.skew import skew_join
 from pagesieve.sources.files import place_of
 
+Sink = Callable[[DataFrame, str], None]
+
 # Column types of the result table in a database.
 DATABASE_TYPES = {
     "wzmc": "VARCHAR(255)",
@@ -37,6 +39,11 @@ def write_batch(rows: DataFrame, path: str, batch_id: int | str) -> None:
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+def as_sink(result: str | Sink) -> Sink:
+    """How a job stores a batch: a folder, or any function of the rows and the batch's name."""
+    return result if callable(result) else lambda rows, batch: write_batch(rows, result, batch)
+
+
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The columns of ``schema``; name ``batch_id`` in it to see the batches."""
     return spark.read.schema(schema).parquet(path).select(*schema.names)

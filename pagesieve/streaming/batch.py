@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pagesieve.sources.marks import begin_run, open_run, read_mark, write_mark
 from pagesieve.sources.pages import incoming_rows
-from pagesieve.sources.results import write_batch
+from pagesieve.sources.results import Sink, as_sink
 from pagesieve.streaming.incremental import Job
 
 
@@ -17,7 +17,7 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("n_rows")), observation
 
 
-def run_above_mark(table: DataFrame, job: Job, result: str, marks: str) -> int:
+def run_above_mark(table: DataFrame, job: Job, result: str | Sink, marks: str) -> int:
     """Score the rows above the saved mark, add the positives, move the mark; gives their number.
 
     The run's number and upper end are noted before anything is scored, so the mark never passes
@@ -35,6 +35,6 @@ def run_above_mark(table: DataFrame, job: Job, result: str, marks: str) -> int:
     seq, mark, upto = begun
     fresh = incoming_rows(table, mark).where(F.col("offset") <= upto)
     positives, observation = counted(job(fresh), "positives")
-    write_batch(positives, result, f"table-{seq}")
+    as_sink(result)(positives, f"table-{seq}")
     write_mark(spark, marks, upto)
     return observation.get["n_rows"]

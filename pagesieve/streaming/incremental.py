@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesieve.sources.marks import advance_mark
-from pagesieve.sources.results import write_batch
+from pagesieve.sources.results import Sink, as_sink
 
 Job = Callable[[DataFrame], DataFrame]
 
@@ -23,13 +23,13 @@ def stream_rows(spark: SparkSession, folder: str, schema: T.StructType, files_pe
     return reader.parquet(folder)
 
 
-def handle_batch(rows: DataFrame, batch_id: int, job: Job, result: str, marks: str, query: str = "stream") -> None:
+def handle_batch(rows: DataFrame, batch_id: int, job: Job, result: str | Sink, marks: str, query: str = "stream") -> None:
     """Score one batch, store its positives, then move the mark to its largest offset.
 
     The mark moves even if nothing was positive. A crash in between repeats the batch, which
     replaces its own partition of the result, named by the query and the batch.
     """
-    write_batch(job(rows), result, f"{query}-{batch_id}")
+    as_sink(result)(job(rows), f"{query}-{batch_id}")
     largest = rows.agg(F.max("offset")).first()[0]
     if largest is not None:
         advance_mark(rows.sparkSession, marks, largest)
@@ -41,7 +41,7 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(text)["id"]
 
 
-def run_incremental(rows: DataFrame, job: Job, result: str, marks: str, checkpoint: str) -> None:
+def run_incremental(rows: DataFrame, job: Job, result: str | Sink, marks: str, checkpoint: str) -> None:
     """Handle everything that is there, in batches, and stop; the next run resumes after it.
 
     A batch's number only counts within its checkpoint, so the query's id stands before it:
