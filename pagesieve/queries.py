@@ -482,7 +482,7 @@ def model_reload(spark, folder):
     path = new_folder(spark, "model")
     save_model(model, path)
     both = pipeline_scorer(model)(rows).withColumnRenamed("classes", "before")
-    both = both.withColumnRenamed("probabilities", "p_before")
+    both = stored(both.withColumnRenamed("probabilities", "p_before"), "scores")
     again = pipeline_scorer(load_model(path))(both)
     same = (F.col("classes") == F.col("before")) & (F.col("probabilities") == F.col("p_before"))
     return again.select("doc_id", same.alias("same"))
