@@ -9,27 +9,32 @@ from pagesieve.oracles import ORACLES
 from pagesieve.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"segment_text", "train_classifier"}
+# On the smallest tables 18 rows are held out, too few to tell a classifier from the larger class.
+LARGER = {"train_classifier": "/root/testdata/sf0.01"}
 
 
-@pytest.fixture(scope="module")
-def db():
+def views(folder):
     connection = duckdb.connect()
     for table in check.TABLES:
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     return connection
 
 
+@pytest.fixture(scope="module")
+def db():
+    return {folder: views(folder) for folder in (FOLDER, *LARGER.values())}
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["doc_id", "rank", "word", "tf", "score"]
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    outcome, _ = check.compare(spark, db, name, FOLDER)
-    assert outcome.startswith("same") or name in WITHOUT_SQL, outcome
+    folder = LARGER.get(name, FOLDER)
+    outcome, _ = check.compare(spark, db[folder], name, folder)
+    assert outcome.startswith("same"), outcome
