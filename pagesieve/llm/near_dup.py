@@ -6,7 +6,8 @@ elements into one given bin, so that filling is certain. Values of earlier round
 sketches of different sets can be compared bin by bin. Bands of bins bring likely pairs together,
 and each link is confirmed on the full sets.
 
-Documents with equal sets are one class and take part once. Inside a band's bucket not all pairs
+Documents with equal sets are one class and take part once, under a number of its own, so that
+neither repeated nor missing keys tie classes together. Inside a band's bucket not all pairs
 are formed: members are compared with its smallest one. Where that leaves a bucket in several
 components, its members meet again by their rarest shingles, in buckets that hold every pair
 which can still be linked, and only members of different components are compared.
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,9 +121,9 @@ SKETCHED = [
 ]
 
 
-def sketch_texts(docs: DataFrame, how: Likeness, key: str, text: str = "text") -> DataFrame:
-    """``key, n_shingles, set_id, bands``; the last two are null without shingles. ``set_id`` is
-    equal for equal sets."""
+def sketch_texts(docs: DataFrame, how: Likeness, keep: list[str], text: str = "text") -> DataFrame:
+    """The columns ``keep`` and ``n_shingles, set_id, bands``; the last two are null without
+    shingles. ``set_id`` is equal for equal sets."""
     bins = how.rows * how.bands
 
     def make() -> Callable:
@@ -148,7 +149,7 @@ def sketch_texts(docs: DataFrame, how: Likeness, key: str, text: str = "text") -
 
         return work
 
-    return mapped(docs, text, [key], SKETCHED, make)
+    return mapped(docs, text, keep, SKETCHED, make)
 
 
 def full_sets(docs: DataFrame, how: Likeness, key: str, text: str = "text") -> DataFrame:
@@ -191,23 +192,42 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
 
+def digest(text: str) -> Column:
+    """16 bytes that tell texts apart; null for null."""
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def link(docs: DataFrame, how: Likeness, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id`` for every row of ``docs``.
 
-    ``component_id`` is the smallest key reachable over links, the row's own included. Null and
-    empty texts and those without words have no shingles and no links. Rows that repeat a key
-    with another text each link on their own; other columns are not read; no rows give none.
+    ``component_id`` is the smallest key reachable over links, the row's own included; it is null
+    where none of them has a key. Null and empty texts and those without words have no shingles
+    and no links. Rows that repeat a key, or have none, with another text each link on their own;
+    other columns are not read; no rows give none.
     """
-    sketched = stored(sketch_texts(docs, how, key, text).withColumnRenamed(key, "key"), "sketches")
-    filled = sketched.where("n_shingles > 0")
-    classes = stored(filled.groupBy("set_id").agg(F.min("key").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    sketched, tops = _linked(docs, how, key, text)
+    linked = sketched.where("n_shingles > 0").join(tops, "set_id").select("key", "n_shingles", F.col("top.key").alias("component_id"))
+    alone = sketched.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
+    return linked.union(alone).withColumnRenamed("key", key)
+
+
+def _linked(docs: DataFrame, how: Likeness, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The stored sketches (``key, digest, n_shingles, set_id``), and ``set_id, top`` for every
+    set: the row that stands for its component, the one with the smallest key, then digest."""
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), digest(text).alias("digest"))
+    sketched = stored(sketch_texts(rows, how, ["key", "digest"]), "sketches")
+    # Rows without a key come last.
+    row = F.struct(F.col("key").isNull().alias("no_key"), "key", "digest")
+    classes = sketched.where("n_shingles > 0").groupBy("set_id").agg(F.min(row).alias("row"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    # Numbers are fixed by being stored: whichever attempt of a task counts, they differ.
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     members = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     buckets = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
     live = stored(members.join(buckets.select("bucket", "pivot"), "bucket"), "members")
 
-    wanted = live.select("rep").distinct()
-    # One text stands for its class; a key that repeats stands for each of its texts' classes.
-    texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).join(wanted, "rep", "left_semi")
+    # One text stands for its class: rows equal in key and text give one set.
+    wanted = classes.join(live.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("row.key").alias("key"), F.col("row.digest").alias("digest"))
+    texts = rows.join(wanted, rows["key"].eqNullSafe(wanted["key"]) & (rows["digest"] == wanted["digest"])).select("rep", "text")
     sets = stored(full_sets(texts, how, "rep").distinct(), "sets")
 
     pairs = live.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
@@ -217,11 +237,10 @@ def link(docs: DataFrame, how: Likeness, key: str = "doc_id", text: str = "text"
     if not left.isEmpty():
         labels = settle(prefix_buckets(left.select("rep").distinct(), sets, how.percent), sets, labels, how.percent)
 
-    named = classes.select("set_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("set_id", F.coalesce("label", "rep").alias("component_id"))
-    linked = filled.select("key", "n_shingles", "set_id").join(named, "set_id").select("key", "n_shingles", "component_id")
-    alone = sketched.where("n_shingles = 0").select("key", "n_shingles", F.col("key").alias("component_id"))
-    return linked.union(alone).withColumnRenamed("key", key)
+    named = classes.select("set_id", "rep", "row").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("set_id", "row", F.coalesce("label", "rep").alias("label"))
+    tops = named.groupBy("label").agg(F.min("row").alias("top"))
+    return sketched, named.join(tops, "label").select("set_id", "top")
 
 
 def prefix_buckets(reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -279,7 +298,12 @@ def unresolved(live: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, how: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their component, one of each, with all their columns.
 
-    Texts without words are linked with nothing and stay. Of rows with one key one stays.
+    It is the row with the smallest key, then text digest; rows without a key come last. Texts
+    without words are linked with nothing and stay. Of rows equal in key and text one stays.
     """
-    kept = link(docs, how, key, text).where(F.col("component_id").eqNullSafe(F.col(key))).select(F.col(key).alias("__kept"))
-    return docs.join(kept.distinct(), docs[key].eqNullSafe(F.col("__kept")), "left_semi").dropDuplicates([key])
+    sketched, tops = _linked(docs, how, key, text)
+    kept = tops.select(F.col("top.key").alias("__key"), F.col("top.digest").alias("__digest"))
+    kept = kept.union(sketched.where("n_shingles = 0").select("key", "digest")).distinct()
+    marked = docs.withColumn("__own", digest(text))
+    chosen = marked.join(kept, marked[key].eqNullSafe(kept["__key"]) & marked["__own"].eqNullSafe(kept["__digest"]), "left_semi")
+    return chosen.dropDuplicates([key, "__own"]).drop("__own")
