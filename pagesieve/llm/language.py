@@ -2,7 +2,8 @@
 
 For every language a raw-content Zstandard dictionary is made of sampled labelled texts. A text
 is compressed, block by block, with each dictionary; the smallest sum wins, and where the
-second smallest is nearly as small the text is rejected.
+second smallest is nearly as small the text is rejected. Very short texts, which no dictionary
+makes smaller than they are, are compressed behind a piece that leaves room to gain.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ SAMPLE_TEXTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES, MOST_LANGUAGES = 400, 2000, 9
 BLOCK_BYTES = 4096
 #: Compression level; texts of fewer bytes are searched for shorter matches, which takes longer.
 LEVEL, SHORT_BYTES = 6, 256
+#: What stands before texts that would be stored raw: it packs into a few bytes, so the block is compressed.
+WARM_UP = b" " * 512
+#: Bytes of words, closed by blanks, up to which pointing into a dictionary is no shorter than the words.
+UNDECIDED_BYTES = 8
 #: Least margin, of the second smallest size, at which a text is not rejected.
 MARGIN = 0.005
 #: Margin at which the score is 1 - 1/e.
@@ -95,6 +100,10 @@ class Packer:
         blocks = [text[at : at + BLOCK_BYTES] for at in range(0, len(text), BLOCK_BYTES)]
         return np.array([sum(len(packer.compress(block)) for block in blocks) for packer in packers], np.int64)
 
+    def warm_sizes(self, text: bytes) -> np.ndarray:
+        """Sizes behind ``WARM_UP``, less its own."""
+        return np.array([len(packer.compress(WARM_UP + text)) - len(packer.compress(WARM_UP)) for packer in self.short], np.int64)
+
     def judge(self, text: bytes | None) -> tuple[str, float, float, bool]:
         """Language, score, margin, rejected. Of equal sizes the first language wins, with margin 0."""
         words = letters_of(text)
@@ -103,11 +112,20 @@ class Packer:
         if len(self.names) == 1:
             return self.names[0], 1.0, 1.0, False
         sizes = self.sizes(words)
+        # The smallest is no smaller than the text: it is stored raw under every dictionary.
+        if sizes.min() == sizes.max() and sizes.min() > len(words) and len(words) < SHORT_BYTES:
+            sizes = np.maximum(self.warm_sizes(words), 1)
         best, second = np.argsort(sizes, kind="stable")[:2]
         margin = float((sizes[second] - sizes[best]) / sizes[second])
         return self.names[best], 1.0 - float(np.exp(-margin / SCALE)), margin, margin < MARGIN
 
 
+    def stays(self, text: bytes | None) -> bool:
+        """Whether the language is not rejected, or the text has letters but too few for any to be found."""
+        words = letters_of(text)
+        return words is not None and bool(self.names) and (len(words) <= UNDECIDED_BYTES or not self.judge(text)[3])
+
+
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] | None = None, text: str = "text") -> DataFrame:
     """The columns ``keep`` (all but ``text``) and ``lang_pred, score, margin, rejected``.
 
@@ -133,12 +151,13 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str] |
 
 
 def keep_identified(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is not rejected, with all their columns."""
+    """The rows of ``docs`` whose language is not rejected, with all their columns; texts of up to
+    ``UNDECIDED_BYTES`` stay, since nothing speaks against them."""
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def make() -> Callable:
         packer = Packer(sent.value)
-        return lambda texts: pa.array([not packer.judge(x)[3] for x in as_bytes(texts)], pa.bool_())
+        return lambda texts: pa.array([packer.stays(x) for x in as_bytes(texts)], pa.bool_())
 
     return filtered(docs, text, make)
