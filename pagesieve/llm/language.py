@@ -37,6 +37,8 @@ SCALE = 0.05
 UNKNOWN = "und"
 
 LETTER = re.compile(r"[^\W\d_]")
+#: The same for Spark, as near as its Unicode tables are.
+HAS_LETTER = r"[\p{L}\p{Nl}\p{No}]"
 #: ASCII letters and all bytes beyond ASCII stay, the rest separates.
 LETTER_BYTES = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -60,13 +62,15 @@ def letters_of(text: bytes | None) -> bytes | None:
 
 
 def learn_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """A dictionary's content per language, from the rows with a language and letters.
+    """A dictionary's content per language, from the rows with a language and letters (among those
+    characters that are taken).
 
     ``SAMPLE_TEXTS`` texts of a language, those whose keys hash lowest, give their first
     ``SAMPLE_CHARACTERS`` each, up to ``DICTIONARY_BYTES``. The languages come in the order of
     their rows, most first. No rows give no languages.
     """
     known = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.substring(text, 1, SAMPLE_CHARACTERS).alias("text"))
+    known = known.where(F.col("text").rlike(HAS_LETTER))
     ranked = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
     if len(ranked) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages: merge some")

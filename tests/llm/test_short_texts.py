@@ -14,7 +14,7 @@ def dictionaries():
 
 def test_a_few_words_have_a_language(dictionaries):
     packer = language.Packer(dictionaries)
-    for lang, texts in {"en": ("House with river.", "from over that"), "de": ("Haus mit Fluss.", "von nach dass")}.items():
+    for lang, texts in {"en": ("House with river.", "River, house", "that light"), "de": ("Haus mit Fluss.", "Haus, Licht")}.items():
         for text in texts:
             sizes = packer.sizes(language.letters_of(text.encode()))
             name, score, margin, rejected = packer.judge(text.encode())
@@ -26,3 +26,13 @@ def test_too_short_texts_stay(spark, dictionaries):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {row.doc_id for row in language.keep_identified(docs, dictionaries).collect()} == {0, 1, 2, 3}
     assert language.keep_identified(docs, {}).count() == 0
+
+
+def test_texts_without_letters_are_not_drawn(spark):
+    rows = [(at, text, "en") for at in range(0, 3000, 3) for text in (None, "12 34", "  ")]
+    rows = [(at, text, lang) for at, (_, text, lang) in enumerate(rows)]
+    rows += [(5000 + at, "the light of the house", "en") for at in range(20)] + [(6000 + at, "das licht im haus", "de") for at in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = language.learn_dictionaries(docs)
+    assert list(learned) == ["de", "en"]
+    assert learned["en"].count(b" the light of the house ") == 20 and learned["de"].count(b" das licht im haus ") == 30
