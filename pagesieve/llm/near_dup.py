@@ -192,9 +192,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("a_set") + F.size("b_set") - common)).select("a", "b")
 
 
-def digest(text: str) -> Column:
-    """16 bytes that tell texts apart; null for null."""
-    return F.unhex(F.md5(F.col(text).cast("binary")))
+def digest(key: str, text: str) -> Column:
+    """16 bytes, never null, that tell rows apart by key and text."""
+    binary = lambda x: x.cast("binary")
+    name = F.col(key).cast("string")
+    name = F.coalesce(F.concat(F.length(name).cast("string"), F.lit(":"), name), F.lit("-"))
+    return F.unhex(F.md5(F.concat(binary(name), F.coalesce(F.concat(binary(F.lit("+")), binary(F.col(text))), binary(F.lit("-"))))))
 
 
 def link(docs: DataFrame, how: Likeness, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,7 +217,7 @@ def link(docs: DataFrame, how: Likeness, key: str = "doc_id", text: str = "text"
 def _linked(docs: DataFrame, how: Likeness, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """The stored sketches (``key, digest, n_shingles, set_id``), and ``set_id, top`` for every
     set: the row that stands for its component, the one with the smallest key, then digest."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), digest(text).alias("digest"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), digest(key, text).alias("digest"))
     sketched = stored(sketch_texts(rows, how, ["key", "digest"]), "sketches")
     # Rows without a key come last.
     row = F.struct(F.col("key").isNull().alias("no_key"), "key", "digest")
@@ -226,8 +229,8 @@ def _linked(docs: DataFrame, how: Likeness, key: str, text: str) -> tuple[DataFr
     live = stored(members.join(buckets.select("bucket", "pivot"), "bucket"), "members")
 
     # One text stands for its class: rows equal in key and text give one set.
-    wanted = classes.join(live.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("row.key").alias("key"), F.col("row.digest").alias("digest"))
-    texts = rows.join(wanted, rows["key"].eqNullSafe(wanted["key"]) & (rows["digest"] == wanted["digest"])).select("rep", "text")
+    wanted = classes.join(live.select("rep").distinct(), "rep", "left_semi").select("rep", F.col("row.digest").alias("digest"))
+    texts = rows.join(wanted, "digest").select("rep", "text")
     sets = stored(full_sets(texts, how, "rep").distinct(), "sets")
 
     pairs = live.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
@@ -298,12 +301,10 @@ def unresolved(live: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, how: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stand for their component, one of each, with all their columns.
 
-    It is the row with the smallest key, then text digest; rows without a key come last. Texts
+    It is the row with the smallest key, then digest; rows without a key come last. Texts
     without words are linked with nothing and stay. Of rows equal in key and text one stays.
     """
     sketched, tops = _linked(docs, how, key, text)
-    kept = tops.select(F.col("top.key").alias("__key"), F.col("top.digest").alias("__digest"))
-    kept = kept.union(sketched.where("n_shingles = 0").select("key", "digest")).distinct()
-    marked = docs.withColumn("__own", digest(text))
-    chosen = marked.join(kept, marked[key].eqNullSafe(kept["__key"]) & marked["__own"].eqNullSafe(kept["__digest"]), "left_semi")
-    return chosen.dropDuplicates([key, "__own"]).drop("__own")
+    kept = tops.select(F.col("top.digest").alias("__own")).union(sketched.where("n_shingles = 0").select("digest")).distinct()
+    # Texts are dealt out and sorted once, for the join and for repeats alike.
+    return docs.withColumn("__own", digest(key, text)).join(kept, "__own", "left_semi").dropDuplicates(["__own"]).select(*docs.columns)
