@@ -325,3 +325,17 @@ def test_csv_scores(spark, tmp_path):
     results.write_scores_csv(scores, str(tmp_path / "scores"))
     back = results.read_scores_csv(spark, str(tmp_path / "scores"), scores.schema)
     assert sorted(back.collect()) == sorted(scores.collect())
+
+
+def test_fitted_model_scores_after_an_observation(spark):
+    # An observation makes the session hold a manager that cannot be sent to tasks.
+    df, observed = counted(spark.range(3), "three")
+    df.write.format("noop").mode("overwrite").save()
+    assert observed.get["n_rows"] == 3
+    rows = spark.createDataFrame(
+        [([f"w{i % 3}", "x"], [f"m{i % 2}"], i % 2) for i in range(12)],
+        "tag_words array<string>, meta_words array<string>, label int",
+    )
+    model = training.train(rows, TrainingParams([1], 0.01, 3, 1 << 8))
+    scored = scoring.pipeline_scorer(model)(rows).collect()
+    assert len(scored) == 12 and all(abs(sum(row["probabilities"]) - 1.0) < 1e-9 for row in scored)
