@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pagesieve.llm.decontaminate import WINDOW
 from pagesieve.llm.licences import GAP, RULES, SENTENCES, normalised_text
+from pagesieve.llm.mixing import BLANKS, Mix
 from pagesieve.llm.queries import LINKED, URL_RULES
 from pagesieve.llm.url_rules import SMALL, UPPER
 from pagesieve.llm.warc import REVISIT_BYTES
@@ -118,10 +119,52 @@ a AS (
 SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM u LEFT JOIN f ON u.row = f.row AND f.n = 1
 """
 
+def _mixing(mix: Mix = Mix()) -> str:
+    weights = "[" + ", ".join(map(str, mix.weights)) + "]"
+    cap = f"CAST({mix.cap!r} AS DOUBLE)"
+    return rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^{BLANKS}]+')), 0) AS BIGINT) AS size,
+    md5(concat_ws(chr(0), coalesce(CAST(doc_id AS VARCHAR), ''), coalesce(text, ''))) AS ord
+  FROM documents
+), g AS (
+  SELECT source, sum(size) AS size FROM d GROUP BY source
+), w AS (
+  SELECT source, size, CAST({weights}[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mix.weights)}) + 1] AS BIGINT) AS weight FROM g
+), k AS (
+  SELECT DISTINCT {cap} * size / weight AS theta FROM w
+), c AS (
+  SELECT (SELECT coalesce(sum(size), 0) FROM w WHERE {cap} * w.size / w.weight <= k.theta) AS capped_size,
+    (SELECT coalesce(sum(weight), 0) FROM w WHERE {cap} * w.size / w.weight > k.theta) AS free_weight FROM k
+  UNION ALL SELECT 0, (SELECT sum(weight) FROM w)
+), m AS (
+  SELECT ((SELECT sum(size) FROM w) - {cap} * capped_size) / free_weight AS mu, capped_size, free_weight FROM c WHERE free_weight > 0
+), fixed AS (
+  SELECT coalesce(min(mu), 0) AS mu FROM m
+  WHERE capped_size = (SELECT coalesce(sum(size), 0) FROM w WHERE w.weight * m.mu >= {cap} * w.size)
+    AND free_weight = (SELECT coalesce(sum(weight), 0) FROM w WHERE NOT (w.weight * m.mu >= {cap} * w.size))
+), t AS (
+  SELECT w.source, w.size AS source_size, w.weight, least({cap} * w.size, fixed.mu * w.weight) AS target FROM w, fixed
+), r AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM t
+), swept AS (
+  SELECT d.doc_id, d.source, d.size, r.source_size, r.weight, r.target, r.rate,
+    r.target - floor(r.rate) * r.source_size AS budget,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, source, size, source_size, weight, target, rate,
+  CAST(floor(rate) AS BIGINT) + CASE WHEN CAST(2 AS DOUBLE) * before + size < CAST(2 AS DOUBLE) * budget THEN 1 ELSE 0 END AS copies,
+  (CAST(floor(rate) AS BIGINT) + CASE WHEN CAST(2 AS DOUBLE) * before + size < CAST(2 AS DOUBLE) * budget THEN 1 ELSE 0 END) * size AS taken
+FROM swept
+"""
+
+
 ORACLES = {
     "op3_warc_archives": WARC,
     "op4_benchmark_overlap": OVERLAP,
     "op5_licence_scan": _licences(),
     "op9_near_duplicates": NEAR,
     "op10_url_rules": URLS,
+    "op11_source_mixing": _mixing(),
 }

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagesieve.llm import bpe, decontaminate, fingerprints, language, licences, near_dup, quality, token_files, url_rules, warc
+from pagesieve.llm import (
+    bpe,
+    decontaminate,
+    fingerprints,
+    language,
+    licences,
+    mixing,
+    near_dup,
+    quality,
+    token_files,
+    url_rules,
+    warc,
+)
 from pagesieve.sources.tables import read_table
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -100,6 +112,11 @@ def op10_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return url_rules.judge_urls(read_table(spark, folder, "pages"), rules)
 
 
+def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's share of a mix of sources weighed 5, 2, 1 in turn, none above three times its size."""
+    return mixing.mix_documents(read_table(spark, folder, "documents"), mixing.Mix(weights=(5, 2, 1), cap=3.0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -113,5 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fingerprints,
         op9_near_duplicates,
         op10_url_rules,
+        op11_source_mixing,
     )
 }

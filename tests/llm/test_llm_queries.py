@@ -24,7 +24,7 @@ def db():
 
 
 def test_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert {*QUERIES, "pipeline"} <= set(queries())
     assert set(ORACLES) <= set(oracle_sql())
 
