@@ -16,6 +16,7 @@ from pagesieve.llm import (
     licences,
     mixing,
     near_dup,
+    periodic,
     quality,
     token_files,
     url_rules,
@@ -117,6 +118,39 @@ def op11_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_documents(read_table(spark, folder, "documents"), mixing.Mix(weights=(5, 2, 1), cap=3.0))
 
 
+def planted(words: Column, doc_id: Column) -> Column:
+    """``words`` with a periodic tail planted in every tenth document, by the crc32 ``h`` of its
+    decimal id: from word ``a = g % n`` on (``g = h div 10``), word ``i`` becomes word
+    ``a + (i - a) % p`` with ``p = 1 + (n - a) div (3 + g % 8)``. A null id plants nothing."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = F.pmod(g, F.greatest(n, F.lit(1)))
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    tail = F.transform(words, lambda word, i: F.when(i >= a, F.element_at(words, (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(word))
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), tail).otherwise(words)
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's periodic runs of four periods or more, its longest, and its words without repeats."""
+    docs = read_table(spark, folder, "documents")
+    # Words first, as a column of their own: the planting reads them many times a row.
+    words = docs.select("doc_id", periodic.words_of(F.col("text")).alias("words"))
+    words = words.select("doc_id", planted(F.col("words"), F.col("doc_id")).alias("words"))
+    found = periodic.find_runs(words, "words", ["doc_id"], min_length=6, exponent=4)
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("minus"), r["start"].alias("start"), r["period"].alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        (-best["minus"]).alias("length"),
+        best["period"].alias("period"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).withColumn("exponent_milli", F.expr("(length * 1000) div period"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -131,5 +165,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_near_duplicates,
         op10_url_rules,
         op11_source_mixing,
+        op12_periodic_runs,
     )
 }
