@@ -21,6 +21,7 @@ from pagesieve.llm import (
     token_files,
     url_rules,
     warc,
+    whitening,
 )
 from pagesieve.sources.tables import read_table
 
@@ -151,6 +152,12 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("exponent_milli", F.expr("(length * 1000) div period"))
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable embedding whitened along its table's 32 principal directions."""
+    embeddings = read_table(spark, folder, "embeddings")
+    return whitening.whiten(embeddings, "vec_id", "embedding", components=32)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -166,5 +173,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_url_rules,
         op11_source_mixing,
         op12_periodic_runs,
+        op13_embedding_whitening,
     )
 }
