@@ -210,6 +210,22 @@ ORACLES = {
           FROM found JOIN embeddings ON id = vec_id + 1)
         SELECT doc_id, pos, round(max(value), 6) AS max_v, round(avg(value), 6) AS mean_v
         FROM vectors GROUP BY doc_id, pos""",
+    "window_pooling": f"""WITH {ENCODED},
+        known AS (
+          SELECT doc_id, place, embedding FROM found JOIN embeddings ON id = vec_id + 1 WHERE part = 'text'),
+        numbered AS (
+          SELECT doc_id, embedding, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS r,
+                 count(*) OVER (PARTITION BY doc_id) AS n FROM known),
+        slots AS (
+          SELECT doc_id, r, n, unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS value FROM numbered),
+        windows AS (
+          SELECT a.doc_id, s.k, a.r, a.dim, sum(b.value) / count(*) AS mean
+          FROM slots a, (VALUES (1), (2), (3)) s(k), slots b
+          WHERE b.doc_id = a.doc_id AND b.dim = a.dim AND b.r >= a.r AND b.r < a.r + s.k
+            AND (a.r + s.k - 1 <= a.n OR (a.r = 1 AND a.n < s.k))
+          GROUP BY a.doc_id, s.k, a.r, a.dim)
+        SELECT doc_id, CAST((k - 1) * (SELECT max(len(embedding)) FROM embeddings) + dim AS INT) AS pos, round(max(mean), 6) AS value
+        FROM windows GROUP BY doc_id, k, dim""",
     "predict_positive": f"""WITH {SCORED}
         SELECT doc_id, 1 AS classes, round(p, 9) AS probability FROM scored_docs WHERE p > 0.5""",
     "score_batches": f"""WITH {SCORED}

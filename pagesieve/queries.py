@@ -33,7 +33,7 @@ from pagesieve.operators.encode import encode
 from pagesieve.operators.features import join_features, page_features
 from pagesieve.operators.metrics import evaluate, write_metrics
 from pagesieve.operators.ngrams import runs_of
-from pagesieve.operators.pooling import pool_vectors, rounded
+from pagesieve.operators.pooling import pool_vectors, rounded, window_pool
 from pagesieve.operators.segment import segment
 from pagesieve.operators.skew import skew_join
 from pagesieve.operators.stopwords import drop_stop_words
@@ -363,6 +363,16 @@ def embedding_pool(spark, folder):
     )
 
 
+def window_pooling(spark, folder):
+    """Every document's rank-ordered top words, pooled over windows of 1, 2 and 3 known words."""
+    vocabulary = vocab_build(spark, folder)
+    ids = encoded(spark, folder, vocabulary)
+    pooled = window_pool(ids, "doc_id", "text", embeddings(spark, folder), (1, 2, 3), vocabulary.select("id", "freq"), "freq")
+    return pooled.select("doc_id", F.posexplode("pooled").alias("pos", "value")).select(
+        "doc_id", "pos", F.round("value", 6).alias("value")
+    )
+
+
 # -- scoring
 
 
@@ -806,6 +816,7 @@ QUERIES = {
     "encode_pad": encode_pad,
     "ngram_features": ngram_features,
     "embedding_pool": embedding_pool,
+    "window_pooling": window_pooling,
     "predict_positive": predict_positive,
     "score_batches": score_batches,
     "cascade": cascade_query,

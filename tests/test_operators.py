@@ -281,3 +281,31 @@ def test_metrics(spark, tmp_path):
     assert sure["loss"] > 300  # half of the rows are wrong for certain
     write_metrics(evaluate(df), str(tmp_path / "metrics"))
     assert spark.read.json(str(tmp_path / "metrics")).first()["accuracy"] == 0.5
+
+
+def test_window_pool_against_brute_force(spark):
+    import numpy as np
+
+    from pagesieve.operators.pooling import window_pool
+
+    vectors = {i: [float(i), float(-i * i % 7)] for i in range(1, 9)}
+    rows = [(1, [1, 2, 3, 4]), (2, [5, 0, 99, 6]), (3, [7]), (4, [0, 99]), (5, []), (1, [8, 8]), (6, None)]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
+    table = spark.createDataFrame(list(vectors.items()), "id int, vector array<float>")
+    got = sorted((r["doc_id"], tuple(r["pooled"])) for r in window_pool(df, "doc_id", "ids", table).collect())
+
+    def by_hand(ids):
+        known = [vectors[i] for i in ids or [] if i in vectors]
+        if not known:
+            return None
+        pooled = []
+        for k in (1, 2, 3):
+            windows = [known[a : a + k] for a in range(len(known) - k + 1)] or [known]
+            means = [np.mean(np.array(w), axis=0) for w in windows]
+            pooled += list(np.max(np.array(means), axis=0))
+        return tuple(pooled)
+
+    expected = sorted((key, by_hand(ids)) for key, ids in rows if by_hand(ids) is not None)
+    assert [key for key, _ in got] == [key for key, _ in expected]
+    for (_, a), (_, b) in zip(got, expected):
+        assert np.allclose(a, b)
