@@ -51,7 +51,7 @@ from pagesieve.plans.scoring import (
     score_pages,
     score_sample,
 )
-from pagesieve.plans.training import load_model, save_model, train
+from pagesieve.plans.training import load_model, save_model, train, train_vectors, with_vectors
 from pagesieve.schemas import CASCADE_RESULT, RESULT
 from pagesieve.session import new_folder, stored
 from pagesieve.sources import files, lines, marks, pages, results
@@ -456,6 +456,48 @@ def train_classifier(spark, folder):
     return quality.select("n_rows", F.round("majority", 6).alias("majority"), beats)
 
 
+def vector_features(spark, folder, keys: DataFrame) -> DataFrame:
+    """``doc_id, pooled, meta_mean`` of the documents in ``keys``: the top words pooled over
+    windows of 1, 2 and 3 (``window_pooling``), and the mean vector of the first words."""
+    vocabulary = vocab_build(spark, folder)
+    ids = encoded(spark, folder, vocabulary).join(keys, "doc_id", "left_semi")
+    vectors, counts = embeddings(spark, folder), vocabulary.select("id", "freq")
+    pooled = window_pool(ids, "doc_id", "text", vectors, (1, 2, 3), counts, "freq")
+    meta = pool_vectors(ids, "doc_id", "meta", vectors, counts, "freq")
+    meta = meta.select("doc_id", vector_to_array("mean_vector").alias("meta_mean"))
+    # How much of each list the vocabulary knows: unknown words have no vector to pool.
+    known = lambda name: F.size(F.filter(name, lambda word: word > 0)).cast("double")
+    shares = ids.select(
+        "doc_id",
+        F.array(
+            known("text") / F.greatest(F.size("text"), F.lit(1)),
+            known("meta") / F.greatest(F.size("meta"), F.lit(1)),
+            F.log1p(known("text")),
+            F.log1p(known("meta")),
+        ).alias("coverage"),
+    )
+    return keys.join(pooled, "doc_id", "left").join(meta, "doc_id", "left").join(shares, "doc_id", "left")
+
+
+def vector_classifier(spark, folder):
+    """A network on pooled word vectors, trained, saved and loaded, against the majority class on
+    the rows held out."""
+    table = classified(spark, folder).select("doc_id", "label", "class")
+    features = stored(vector_features(spark, folder, table), "vector-features")
+    width = read_table(spark, folder, "embeddings").select(F.max(F.size("embedding"))).first()[0] or 0
+    inputs = {"pooled": 3 * width, "meta_mean": width, "coverage": 4}
+    model = train_vectors(pages.labelled_rows(features, "trainset", ["doc_id", *inputs]), inputs, hidden=8, epochs=40)
+    held_out = with_vectors(pages.labelled_rows(features, "testset", ["doc_id", *inputs]), inputs)
+    quality = evaluate(pipeline_scorer(model)(held_out))
+    return quality.select(
+        "n_rows",
+        F.round("majority", 6).alias("majority"),
+        F.round("accuracy", 6).alias("accuracy"),
+        F.round("loss", 6).alias("loss"),
+        F.round(F.col("accuracy") - F.col("majority"), 6).alias("margin"),
+    )
+
+
 def sample_scores(spark, folder):
     """The first rows of the test set, scored into a CSV file and read again."""
     counts = {"n_tags": F.size("tag_words"), "n_meta": F.size("meta_words")}
@@ -826,6 +868,7 @@ QUERIES = {
     "model_reload": model_reload,
     "sample_scores": sample_scores,
     "train_classifier": train_classifier,
+    "vector_classifier": vector_classifier,
     "positive_projection": positive_projection,
     "append_result": append_query,
     "top_domain": domain_query,

@@ -339,3 +339,17 @@ def test_fitted_model_scores_after_an_observation(spark):
     model = training.train(rows, TrainingParams([1], 0.01, 3, 1 << 8))
     scored = scoring.pipeline_scorer(model)(rows).collect()
     assert len(scored) == 12 and all(abs(sum(row["probabilities"]) - 1.0) < 1e-9 for row in scored)
+
+
+def test_network_on_vectors_learns_and_reloads(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        x = rng.normal(size=6)
+        rows.append(([float(v) for v in x], [float(x[0] * x[1])] if i % 7 else None, int(x[0] + 0.5 * x[2] > 0)))
+    df = spark.createDataFrame(rows, "pooled array<double>, extra array<double>, label int")
+    inputs = {"pooled": 6, "extra": 1}
+    model = training.train_vectors(df, inputs, hidden=8, epochs=60)
+    scored = scoring.pipeline_scorer(model)(training.with_vectors(df, inputs)).collect()
+    accuracy = sum(row["classes"] == row["label"] for row in scored) / len(scored)
+    assert accuracy > 0.9
