@@ -38,7 +38,7 @@ from pagesieve.operators.segment import segment
 from pagesieve.operators.skew import skew_join
 from pagesieve.operators.stopwords import drop_stop_words
 from pagesieve.operators.tfidf import document_frequencies, top_words, word_lists
-from pagesieve.operators.vocabulary import number_words, vocabulary_size, word_frequencies
+from pagesieve.operators.vocabulary import learn_vectors, number_words, vocabulary_size, word_frequencies
 from pagesieve.plans import maintenance
 from pagesieve.plans.scoring import (
     archiving,
@@ -321,6 +321,18 @@ def word_vectors(spark, folder):
     ).select("word", "id", "pos", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
+def learned_vectors(spark, folder):
+    """Vectors learned from all documents' words, written as a word-vector text file and read
+    again: every vocabulary word seen five times or more, with its vocabulary id."""
+    words = stored(words_of(spark, folder), "words")
+    vocabulary = number_words(word_frequencies(words, "words"))
+    learned = learn_vectors(words, "words", vocabulary, size=64, min_count=5, window=5, seed=42, partitions=4)
+    path = new_folder(spark, "learned")
+    lines.write_vectors(learned.select("word", "id", "vector"), path)
+    back = lines.read_vectors(spark, path)
+    return back.select("word", F.size("vector").cast("long").alias("n_dims"), "vector")
+
+
 def encoded(spark, folder, vocabulary):
     words = words_of(spark, folder)
     ranked = top_words(words, "doc_id", "words")
@@ -859,6 +871,7 @@ QUERIES = {
     "ngram_features": ngram_features,
     "embedding_pool": embedding_pool,
     "window_pooling": window_pooling,
+    "learned_vectors": learned_vectors,
     "predict_positive": predict_positive,
     "score_batches": score_batches,
     "cascade": cascade_query,

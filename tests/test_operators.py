@@ -309,3 +309,35 @@ def test_window_pool_against_brute_force(spark):
     assert [key for key, _ in got] == [key for key, _ in expected]
     for (_, a), (_, b) in zip(got, expected):
         assert np.allclose(a, b)
+
+
+def test_learned_vectors_place_synonyms_near(spark):
+    import random
+
+    import numpy as np
+
+    from pagesieve.operators.vocabulary import learn_vectors, number_words, word_frequencies
+
+    draw = random.Random(5)
+    fill = [f"f{i}" for i in range(30)]
+    rows = []
+    for i in range(600):
+        # "cat" and "kitten" share their neighbours; "engine" keeps other company.
+        pet = draw.choice(["cat", "kitten"])
+        rows.append((i, ["the", "small", pet, "purrs", "softly", *draw.sample(fill, 3)]))
+        rows.append((1000 + i, ["the", "loud", "engine", "roars", "hard", *draw.sample(fill, 3)]))
+    rows += [(5000, None), (5001, [])]
+    texts = spark.createDataFrame(rows, "doc_id long, words array<string>").repartition(1)
+    vocabulary = number_words(word_frequencies(texts.where("words is not null"), "words"))
+
+    def vectors():
+        found = learn_vectors(texts, "words", vocabulary, size=16, min_count=5, window=3, seed=1, partitions=1)
+        return {row["word"]: np.array(row["vector"]) for row in found.collect()}
+
+    first, again = vectors(), vectors()
+    assert first.keys() == again.keys() and all(np.array_equal(first[w], again[w]) for w in first)
+
+    def cos(a, b):
+        return float(first[a] @ first[b] / np.linalg.norm(first[a]) / np.linalg.norm(first[b]))
+
+    assert cos("cat", "kitten") > cos("cat", "engine") + 0.2
