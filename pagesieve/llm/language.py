@@ -8,20 +8,20 @@ makes smaller than they are, are compressed behind a piece that leaves room to g
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesieve.llm.common import as_bytes, drawn, filtered, mapped, small_batches
 
-#: Texts drawn per language, characters taken of each, bytes of a dictionary, languages at most:
-#: the bounds of what is learned from.
-SAMPLE_TEXTS, SAMPLE_CHARACTERS, DICTIONARY_BYTES, MOST_LANGUAGES = 400, 2000, 96 << 10, 400
+#: Texts drawn per language, bytes of a dictionary, languages at most: the bounds of what is
+#: learned from. Drawn texts are taken whole, in the order drawn, until the dictionary is full.
+SAMPLE_TEXTS, DICTIONARY_BYTES, MOST_LANGUAGES = 400, 96 << 10, 400
 #: Bytes compressed at a time: so short that the dictionary matters more than the text before.
 BLOCK_BYTES = 4096
 #: Compression level; texts of fewer bytes are searched for shorter matches, which takes longer.
@@ -36,9 +36,10 @@ MARGIN = 0.005
 SCALE = 0.05
 UNKNOWN = "und"
 
-LETTER = re.compile(r"[^\W\d_]")
-#: The same for Spark, as near as its Unicode tables are.
-HAS_LETTER = r"[\p{L}\p{Nl}\p{No}]"
+#: A letter: any character of Unicode's general category L; number signs such as ½ or Ⅷ are none.
+LETTER = regex.compile(r"\p{L}")
+#: The same for Spark.
+HAS_LETTER = r"\p{L}"
 #: ASCII letters and all bytes beyond ASCII stay, the rest separates.
 LETTER_BYTES = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -62,21 +63,26 @@ def letters_of(text: bytes | None) -> bytes | None:
 
 
 def learn_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """A dictionary's content per language, from the rows with a language and letters (among those
-    characters that are taken).
+    """A dictionary's content per language, from the rows with a language and a text with a letter.
 
-    ``SAMPLE_TEXTS`` texts of a language, those whose keys hash lowest, give their first
-    ``SAMPLE_CHARACTERS`` each, up to ``DICTIONARY_BYTES``. The languages come in the order of
-    their rows, most first. No rows give no languages.
+    ``SAMPLE_TEXTS`` texts of a language, those whose keys hash lowest, are taken whole, in that
+    order, until ``DICTIONARY_BYTES`` are filled (the last one as far as it fits); only texts that
+    can still add to it leave the tasks. The languages come in the order of their rows, most
+    first. No rows give no languages; more than ``MOST_LANGUAGES`` raise.
     """
-    known = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.substring(text, 1, SAMPLE_CHARACTERS).alias("text"))
+    known = labelled.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
     known = known.where(F.col("text").rlike(HAS_LETTER))
     ranked = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES + 1).collect()
     if len(ranked) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages: merge some")
     counts = {row.lang: row["count"] for row in ranked}
     parts: dict[str, list[bytes]] = {name: [] for name in counts}
-    for row in drawn(known, "lang", "key", SAMPLE_TEXTS, counts, 17).orderBy("lang", "place", "text").select("lang", "text").toLocalIterator():
+    chosen = drawn(known, "lang", "key", SAMPLE_TEXTS, counts, 17)
+    # Letters are fewer bytes than the text, so twice the dictionary of raw bytes is enough.
+    earlier = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = chosen.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(earlier), F.lit(0)))
+    chosen = chosen.where(F.col("before") < 2 * DICTIONARY_BYTES)
+    for row in chosen.orderBy("lang", "place", "text").select("lang", "text").toLocalIterator():
         had = parts[row.lang]
         if sum(map(len, had)) < DICTIONARY_BYTES and (words := letters_of((row.text or "").encode())):
             had.append(words)

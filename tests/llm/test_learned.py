@@ -114,3 +114,18 @@ def test_temperature_leaves_the_order():
     assert 0.25 <= net.temperature <= 8
     assert abs(p.mean() - y.mean()) < 0.08
     assert (np.diff(p[np.argsort(net.logits(x))]) >= 0).all()
+
+
+def test_number_signs_are_no_letters(spark, spoken):
+    dictionaries = language.learn_dictionaries(spoken)
+    docs = spark.createDataFrame([(1, "½ ² ① Ⅷ ٣"), (2, "½ the light"), (3, "ß")], "doc_id long, text string")
+    found = {row.doc_id: row.lang_pred for row in language.identify(docs, dictionaries).collect()}
+    assert found[1] == "und" and found[2] != "und" and found[3] != "und"
+
+
+def test_whole_texts_fill_the_dictionary(spark):
+    # One long text per language: its end, far past any prefix, must reach the dictionary.
+    tail = " ".join(["zebraword"] * 50)
+    rows = [(1, "aa " * 3000 + tail, "xx"), (2, "½ ²", "xx"), (3, None, "xx")]
+    dictionaries = language.learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert b"zebraword" in dictionaries["xx"]
