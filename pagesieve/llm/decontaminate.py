@@ -54,7 +54,8 @@ def window_blocks(benchmark: DataFrame, window: int = WINDOW, size: int = BLOCK_
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array([item] * len(found), pa.string())], pairs_of.names)
 
     small_batches(benchmark.sparkSession)
-    pairs = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null").mapInArrow(cut, pairs_of)
+    # Items without id still hit words; only their name is missing from the items found.
+    pairs = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(cut, pairs_of)
     blocks = max(1, math.ceil(pairs.count() / size))
     for block in range(blocks):
         yield [tuple(row) for row in pairs.where(F.pmod(F.xxhash64("words", "item"), F.lit(blocks)) == block).collect()]
@@ -91,7 +92,7 @@ class Automaton:
             last = int(np.searchsorted(ends, end)) + 1
             change[last - count] += 1
             change[last] -= 1
-            items.update(of)
+            items.update(item for item in of if item is not None)
         return (None if change is None else np.cumsum(change[:-1]) > 0), items
 
     def meets(self, words: list[bytes]) -> bool:
@@ -113,7 +114,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id
     of an item's words if it has fewer. A word of a text is hit when it lies in an occurrence of
     a window; ``items`` are the ids of those that occur, as sorted strings, ``spans`` the
     hit runs in characters of the original. Null and empty texts have no words; items without
-    words or id never occur. Repeated rows are judged each; an empty benchmark hits nothing.
+    words never occur; items without id hit words like others, but have no id to list.
+    Repeated rows are judged each; an empty benchmark hits nothing.
 
     The text is scanned once for each block of ``block`` windows, in place and without a shuffle.
     """

@@ -23,14 +23,15 @@ def overlap_by_hand(text, items, size):
     words, hit, met = words_by_hand(text), set(), set()
     for item, of in items:
         of = words_by_hand(of)
-        if not of or item is None:
+        if not of:
             continue
         n = min(size, len(of))
         for at in range(len(of) - n + 1):
             for place in range(len(words) - n + 1):
                 if words[place : place + n] == of[at : at + n]:
                     hit.update(range(place, place + n))
-                    met.add(str(item))
+                    if item is not None:
+                        met.add(str(item))
     return len(words), hit, sorted(met)
 
 
