@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagesieve.llm.common import LOWER, as_bytes, drawn, filtered, mapped, small_batches
+from pagesieve.session import stored
 
-#: Labelled texts learned from per label and the characters taken of each: the bounds of the sample.
-SAMPLE_TEXTS, SAMPLE_CHARACTERS = 3000, 8000
+#: Labelled texts learned from per label, taken whole: the bound of the sample.
+SAMPLE_TEXTS = 3000
 #: Most words and shapes with vectors, and in how many texts of the sample one must occur.
 MOST_WORDS, MOST_SHAPES, LEAST = 30_000, 4_000, 3
 #: Length of a vector, its places that are not 0, words to either side.
@@ -90,20 +91,25 @@ class Rows(dict):
         return both >> 16, both & 0xFFFF
 
 
-def learn_vectors(texts: Sequence[bytes]) -> Vectors:
-    """Random indexing over the sampled texts. Words are known by the texts they occur in, so that
-    what one text repeats looks as unknown in the sample as it would elsewhere."""
+def token_counts(texts: Sequence[bytes]) -> tuple[Counter, Counter]:
+    """In how many of ``texts`` each word and each shape occurs."""
     words, shapes = Counter(), Counter()
     for text in texts:
-        both = [word_and_shape(token) for token in set(text.split())]
+        both = [word_and_shape(token) for token in set((text or b"").split())]
         words.update({word for word, _ in both})
         shapes.update({shape for _, shape in both})
+    return words, shapes
 
-    def numbered(counts: Counter, most: int) -> dict[bytes, int]:
-        ranked = sorted((x for x in counts.items() if x[1] >= LEAST), key=lambda x: (-x[1], x[0]))[: most - 1]
-        return {name: at + 1 for at, (name, _) in enumerate(ranked)}
 
-    word_rows, shape_rows = numbered(words, MOST_WORDS), numbered(shapes, MOST_SHAPES)
+def numbered(counts: Counter, most: int) -> dict[bytes, int]:
+    """Rows from 1 of the names in at least ``LEAST`` texts, most texts first, at most ``most - 1``."""
+    ranked = sorted((x for x in counts.items() if x[1] >= LEAST), key=lambda x: (-x[1], x[0]))[: most - 1]
+    return {name: at + 1 for at, (name, _) in enumerate(ranked)}
+
+
+def context_sums(texts: Sequence[bytes], word_rows: dict[bytes, int], shape_rows: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the index vectors around every word and shape of ``texts``: what random indexing
+    adds up, before it is normalised. Sums of several parts of a sample add up to the sample's."""
     reader = Rows(word_rows, shape_rows)
     w_place, w_sign = index_places([b"", *(b"w" + name for name in word_rows)])
     s_place, s_sign = index_places([b"", *(b"s" + name for name in shape_rows)])
@@ -120,19 +126,77 @@ def learn_vectors(texts: Sequence[bytes]) -> Vectors:
             a, b = a[both], b[both]
             for at in range(NONZERO):
                 total += np.bincount(a * SIZE + place[b, at], weights=sign[b, at], minlength=size * SIZE)
-        table = total.reshape(size, SIZE)
-        table[0] = 0.0
-        return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        return total.reshape(size, SIZE)
 
     shifts = [x for x in range(-AROUND, AROUND + 1) if x]
     near_words, near_shapes = [(w, x, w_place, w_sign) for x in shifts], [(s, x, s_place, s_sign) for x in shifts]
     own_shape, own_word = (s, 0, s_place, s_sign), (w, 0, w_place, w_sign)
-    return Vectors(
-        word_rows,
-        shape_rows,
-        context(w, len(word_rows) + 1, [*near_words, own_shape]),
-        context(s, len(shape_rows) + 1, [*near_shapes, own_shape, own_word]),
-    )
+    return context(w, len(word_rows) + 1, [*near_words, own_shape]), context(s, len(shape_rows) + 1, [*near_shapes, own_shape, own_word])
+
+
+def normalised(table: np.ndarray) -> np.ndarray:
+    table = table.copy()
+    table[0] = 0.0
+    return (table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def learn_vectors(texts: Sequence[bytes]) -> Vectors:
+    """Random indexing over the sampled texts. Words are known by the texts they occur in, so that
+    what one text repeats looks as unknown in the sample as it would elsewhere."""
+    words, shapes = token_counts(texts)
+    word_rows, shape_rows = numbered(words, MOST_WORDS), numbered(shapes, MOST_SHAPES)
+    word_sums, shape_sums = context_sums(texts, word_rows, shape_rows)
+    return Vectors(word_rows, shape_rows, normalised(word_sums), normalised(shape_sums))
+
+
+def learn_vectors_in_tasks(sample: DataFrame, text: str = "text") -> Vectors:
+    """``learn_vectors`` over the texts of ``sample``, computed where they lie: each task counts
+    its texts' words and shapes and sums their contexts; only the counts of names and the sums
+    of known rows (``MOST_WORDS`` and ``MOST_SHAPES`` of ``SIZE``) are brought together."""
+    spark = sample.sparkSession
+    small_batches(spark)
+    names = T.StructType([T.StructField("kind", T.StringType()), T.StructField("name", T.BinaryType()), T.StructField("n", T.LongType())])
+
+    def count(batches):
+        for batch in batches:
+            words, shapes = token_counts(as_bytes(batch.column(text)))
+            kinds = ["w"] * len(words) + ["s"] * len(shapes)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kinds, pa.string()), pa.array([*words, *shapes], pa.binary()), pa.array([*words.values(), *shapes.values()], pa.int64())],
+                names.names,
+            )
+
+    counted = sample.select(text).mapInArrow(count, names).groupBy("kind", "name").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+    words, shapes = Counter(), Counter()
+    for kind, most, into in (("w", MOST_WORDS, words), ("s", MOST_SHAPES, shapes)):
+        top = counted.where(F.col("kind") == kind).orderBy(F.desc("n"), "name").limit(most - 1).collect()
+        into.update({bytes(row["name"]): row["n"] for row in top})
+    word_rows, shape_rows = numbered(words, MOST_WORDS), numbered(shapes, MOST_SHAPES)
+    sent = spark.sparkContext.broadcast((word_rows, shape_rows))
+    sums = T.StructType([T.StructField("kind", T.StringType()), T.StructField("row", T.LongType()), T.StructField("sum", T.ArrayType(T.DoubleType()))])
+
+    def add(batches):
+        rows_of = sent.value
+        word_sums, shape_sums = np.zeros((len(rows_of[0]) + 1, SIZE)), np.zeros((len(rows_of[1]) + 1, SIZE))
+        for batch in batches:
+            w, s = context_sums(as_bytes(batch.column(text)), *rows_of)
+            word_sums += w
+            shape_sums += s
+        for kind, table in (("w", word_sums), ("s", shape_sums)):
+            some = np.flatnonzero(np.abs(table).sum(axis=1) > 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * len(some), pa.string()), pa.array(some, pa.int64()), pa.array(table[some].tolist(), pa.list_(pa.float64()))],
+                sums.names,
+            )
+
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    added = sample.select(text).mapInArrow(add, sums).groupBy("kind", "row").agg(Summarizer.sum(array_to_vector("sum")).alias("sum"))
+    word_sums, shape_sums = np.zeros((len(word_rows) + 1, SIZE)), np.zeros((len(shape_rows) + 1, SIZE))
+    for row in added.select("kind", "row", vector_to_array("sum").alias("sum")).toLocalIterator():
+        (word_sums if row["kind"] == "w" else shape_sums)[row["row"]] = row["sum"]
+    return Vectors(word_rows, shape_rows, normalised(word_sums), normalised(shape_sums))
 
 
 def pooled(rows: tuple[np.ndarray, np.ndarray], vectors: Vectors) -> np.ndarray:
@@ -227,26 +291,43 @@ class Model:
 
 
 def learn_model(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Learn from the texts of ``docs`` that ``labels`` (``key, label`` 0 or 1) marks.
+    """Learn from the whole texts of ``docs`` that ``labels`` (``key, label`` 0 or 1) marks.
 
-    At most ``SAMPLE_TEXTS`` texts of either label, those whose keys hash lowest, give their first
-    ``SAMPLE_CHARACTERS``. Weights restore the share the label has among all labelled keys.
+    At most ``SAMPLE_TEXTS`` keys of either label, those that hash lowest, are drawn; a key that
+    ``docs`` repeats gives one of its texts (the one whose hash is lowest), so the sample stays
+    bounded however often a key repeats. Vectors are learned from the sample in tasks and the
+    features pooled there; only they reach the driver, which trains the network. Weights restore
+    the share the label has among all labelled keys.
     """
+    spark = docs.sparkSession
     marked = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where("key is not null and label in (0, 1)")
     counts = {row.label: row["count"] for row in marked.groupBy("label").count().collect()}
     chosen = drawn(marked, "label", "key", SAMPLE_TEXTS, counts, 23)
+    # A key labelled more than once counts once, by its first place.
+    chosen = chosen.groupBy("key").agg(F.min(F.struct("place", "label")).alias("first")).select("key", "first.place", "first.label")
     # Bounded by the sample's size, so it may go to every task.
-    found = docs.select(F.col(key).alias("key"), F.substring(F.col(text), 1, SAMPLE_CHARACTERS).alias("text")).join(F.broadcast(chosen), "key")
-    rows = sorted((row.place, row.label, (row.text or "").encode()) for row in found.select("place", "label", "text").collect())
-    texts, y = [row[2] for row in rows], np.array([row[1] for row in rows], np.float64)
-    vectors = learn_vectors(texts)
+    found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key")
+    one = found.groupBy("key", "place", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = stored(one.select("place", "label", "key", "text"), "quality-sample")
+    vectors = learn_vectors_in_tasks(sample)
     total = sum(counts.values())
+    sent = spark.sparkContext.broadcast(vectors)
+    features = T.StructType([T.StructField("place", T.LongType()), T.StructField("key", sample.schema["key"].dataType), T.StructField("label", T.IntegerType()), T.StructField("x", T.ArrayType(T.FloatType()))])
+
+    def pool(batches):
+        reader = sent.value.reader()
+        for batch in batches:
+            x = [pooled(reader.of(t), sent.value).tolist() for t in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("place").cast(pa.int64()), batch.column("key"), batch.column("label"), pa.array(x, pa.list_(pa.float32()))], features.names)
+
+    small_batches(spark)
+    rows = sorted((row.place, row.key, row.label, row.x) for row in sample.mapInArrow(pool, features).collect())
+    y = np.array([row[2] for row in rows], np.float64)
     if len(set(y.tolist())) < 2:
         return Model(vectors, None, counts.get(1, 0) / total if total else 0.5)
     share = np.array([counts.get(0, 0) / total, counts.get(1, 0) / total])
     seen = np.array([np.mean(y == 0), np.mean(y == 1)])
-    reader = vectors.reader()
-    x = np.stack([pooled(reader.of(text), vectors) for text in texts]).astype(np.float64)
+    x = np.array([row[3] for row in rows], np.float64)
     return Model(vectors, train_network(x, y, (share / seen)[y.astype(int)]), float(share[1]))
 
 

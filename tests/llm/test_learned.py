@@ -129,3 +129,14 @@ def test_whole_texts_fill_the_dictionary(spark):
     rows = [(1, "aa " * 3000 + tail, "xx"), (2, "½ ²", "xx"), (3, None, "xx")]
     dictionaries = language.learn_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert b"zebraword" in dictionaries["xx"]
+
+
+def test_vectors_learned_in_tasks_equal_those_of_one_pass(spark):
+    draw = random.Random(9)
+    texts = [sentences(draw.choice(list(STEMS)), draw.randint(0, 80), draw).encode() for _ in range(120)]
+    texts += [LONG.encode(), b"", b"ZZZ 999 ..."]
+    df = spark.createDataFrame([(t.decode(),) for t in texts], "text string").repartition(5)
+    here, there = quality.learn_vectors(texts), quality.learn_vectors_in_tasks(df)
+    assert here.words == there.words and here.shapes == there.shapes
+    assert np.allclose(here.word_vectors, there.word_vectors, atol=1e-6)
+    assert np.allclose(here.shape_vectors, there.shape_vectors, atol=1e-6)
