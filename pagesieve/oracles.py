@@ -279,6 +279,9 @@ ORACLES = {
         FROM pages""",
     "stream_incremental": MARKED,
     "stream_resume": MARKED,
+    "stage_counts": f"""WITH {FIELDS}, {RESULT}
+        SELECT (SELECT count(*) FROM pages) AS n_rows, (SELECT count(*) FROM result) AS n_positives,
+               (SELECT max(page_id) FROM pages) AS largest""",
     "stream_replay": MARKED,
     "stream_new_checkpoint": MARKED,
     "reset_resume": f"WITH {FIELDS}, {RESULT} SELECT * FROM result WHERE \"offset\" > 0",

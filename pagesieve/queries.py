@@ -58,7 +58,7 @@ from pagesieve.sources import files, lines, marks, pages, results
 from pagesieve.sources.params import TrainingParams, read_params
 from pagesieve.sources.tables import read_table
 from pagesieve.streaming.batch import run_above_mark
-from pagesieve.streaming.incremental import run_incremental, stream_rows
+from pagesieve.streaming.incremental import read_counts, run_incremental, stream_rows
 
 STOP_WORDS = ["the", "and", "to", "in", "of", "der", "und", "la", "de", "les", "el", "en"]
 ALIAS = [("and", "个贷")]
@@ -763,6 +763,19 @@ def stream_incremental(spark, folder):
     return stage.outcome()
 
 
+def stage_counts(spark, folder):
+    """The stream job's counts of rows read and positives stored, summed over its batches, and the
+    largest offset: each batch read once."""
+    rows = page_rows(spark, folder)
+    stage = Stage(spark, "counted")
+    stage.arrive(rows)
+    stage.run(rows.schema)
+    counts = read_counts(spark, stage.marks)
+    return counts.agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_positives").alias("n_positives"), F.max("largest").alias("largest")
+    )
+
+
 def stream_resume(spark, folder):
     """One part arrives and is handled; the rest arrives later and is all the next run handles."""
     rows = page_rows(spark, folder)
@@ -893,6 +906,7 @@ QUERIES = {
     "backup_purge": backup_purge,
     "stream_incremental": stream_incremental,
     "stream_resume": stream_resume,
+    "stage_counts": stage_counts,
     "stream_replay": stream_replay,
     "stream_new_checkpoint": stream_new_checkpoint,
     "batch_incremental": batch_incremental,

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,13 +27,39 @@ def stream_rows(spark: SparkSession, folder: str, schema: T.StructType, files_pe
 def handle_batch(rows: DataFrame, batch_id: int, job: Job, result: str | Sink, marks: str, query: str = "stream") -> None:
     """Score one batch, store its positives, then move the mark to its largest offset.
 
-    The mark moves even if nothing was positive. A crash in between repeats the batch, which
-    replaces its own partition of the result, named by the query and the batch.
+    The batch is read once: its rows, their largest offset and the positives are counted by
+    observations while the positives are written, and the counts of both stages go to the table
+    ``counts_folder(marks)``, one file per query and batch. The mark moves even if nothing was
+    positive. A crash in between repeats the batch, which replaces its own partition of the
+    result and its own counts, named by the query and the batch.
     """
-    as_sink(result)(job(rows), f"{query}-{batch_id}")
-    largest = rows.agg(F.max("offset")).first()[0]
-    if largest is not None:
-        advance_mark(rows.sparkSession, marks, largest)
+    name = f"{query}-{batch_id}"
+    seen, kept = Observation(f"rows-{uuid.uuid4().hex}"), Observation(f"kept-{uuid.uuid4().hex}")
+    observed = rows.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.max("offset").alias("largest"))
+    positives = job(observed).observe(kept, F.count(F.lit(1)).alias("n_rows"))
+    as_sink(result)(positives, name)
+    counts = {"n_rows": seen.get["n_rows"], "largest": seen.get["largest"], "n_positives": kept.get["n_rows"]}
+    spark = rows.sparkSession
+    row = spark.createDataFrame([(query, int(batch_id), counts["n_rows"], counts["n_positives"], counts["largest"])], COUNTS)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{counts_folder(marks)}/{name}")
+    if counts["largest"] is not None:
+        advance_mark(spark, marks, counts["largest"])
+
+
+#: One row per batch: rows read, positives stored, largest offset (null for an empty batch).
+COUNTS = T.StructType(
+    [T.StructField("query", T.StringType())]
+    + [T.StructField(name, T.LongType()) for name in ("batch", "n_rows", "n_positives", "largest")]
+)
+
+
+def counts_folder(marks: str) -> str:
+    return f"{marks.rstrip('/')}-counts"
+
+
+def read_counts(spark: SparkSession, marks: str) -> DataFrame:
+    """The counts of every batch handled with these marks, as a table."""
+    return spark.read.schema(COUNTS).parquet(f"{counts_folder(marks)}/*")
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:

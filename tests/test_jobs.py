@@ -353,3 +353,27 @@ def test_network_on_vectors_learns_and_reloads(spark):
     scored = scoring.pipeline_scorer(model)(training.with_vectors(df, inputs)).collect()
     accuracy = sum(row["classes"] == row["label"] for row in scored) / len(scored)
     assert accuracy > 0.9
+
+
+def test_batch_counts_in_one_pass(spark):
+    folder = new_folder(spark, "counts")
+    result, saved = f"{folder}/result", f"{folder}/marks"
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        reads.add(1)
+        return x
+
+    from pyspark.sql.functions import udf
+
+    touch = udf(seen, "double")
+    rows = spark.createDataFrame([page(1, 2.0), page(2, -3.0), page(3, 5.0)], ROWS).withColumn("x", touch("x"))
+    handle_batch(rows, 0, job, result, saved)
+    handle_batch(spark.createDataFrame([], ROWS), 1, job, result, saved)
+    handle_batch(rows, 0, job, result, saved)  # repeated: replaces its counts
+    assert reads.value == 6  # two runs of three rows, no pass of its own for the offset
+    from pagesieve.streaming.incremental import read_counts
+
+    counts = sorted((r["batch"], r["n_rows"], r["n_positives"], r["largest"]) for r in read_counts(spark, saved).collect())
+    assert counts == [(0, 3, 2, 3), (1, 0, 0, None)]
+    assert marks.read_mark(spark, saved) == 3
