@@ -190,6 +190,14 @@ ORACLES = {
         SELECT doc_id, round(coalesce(weight, 0), 4) AS spaced_weight, TRUE AS rebuilt, TRUE AS no_worse
         FROM docs LEFT JOIN sums USING (doc_id)""",
     "vocab_build": f"WITH {WORDS}, {ALL_WORDS}, {VOCABULARY} SELECT word, id, freq FROM vocabulary",
+    "learned_vectors": f"""WITH {WORDS}, {ALL_WORDS},
+        freqs AS (SELECT word, count(*) AS freq FROM all_words GROUP BY word)
+        SELECT word, row_number() OVER (ORDER BY freq DESC, word) - 1 AS id,
+               CAST((SELECT max(len(embedding)) FROM embeddings) AS BIGINT) AS n_dims
+        FROM freqs WHERE freq >= 5""",
+    "vector_classifier": f"""WITH {WORDS}, {CLASSIFIED}
+        SELECT count(*) AS n_rows, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, count(*) AS n_scored
+        FROM classified WHERE class = 'testset'""",
     "vocab_count": f"WITH {WORDS}, {ALL_WORDS} SELECT count(DISTINCT word) + 1 AS n_words FROM all_words",
     "vocab_files": f"WITH {WORDS}, {ALL_WORDS}, {VOCABULARY} SELECT word, id FROM vocabulary",
     "word_vectors": f"""WITH {WORDS}, {ALL_WORDS}, {VOCABULARY},
