@@ -10,7 +10,8 @@ Documents with equal sets are one class and take part once, under a number of it
 neither repeated nor missing keys tie classes together. Inside a band's bucket not all pairs
 are formed: members are compared with its smallest one. Where that leaves a bucket in several
 components, its members meet again by their rarest shingles, in buckets that hold every pair
-which can still be linked, and only members of different components are compared.
+which can still be linked; such a bucket is cut into tiles of bounded size, in which all pairs
+are compared at once and only links between different components come out.
 """
 
 from __future__ import annotations
@@ -263,8 +264,88 @@ def prefix_buckets(reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(cut.select(F.col("s.bucket").alias("bucket"), "rep", "n", (F.col("own") + F.col("at")).alias("place")), "prefixes")
 
 
+#: Members of a bucket dealt to one block; a tile holds the members of two blocks.
+TILE = 512
+#: Shingle columns of the bit rows multiplied at once inside a tile.
+COLUMNS = 4096
+EDGES = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+
 def settle(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """The components when all pairs that meet in a bucket of ``live`` and may be linked are too.
+    """The components when all pairs that meet in a bucket of ``live`` and are alike are linked.
+
+    Buckets that hold one component are done. Buckets of more than ``TILE`` members are cut into
+    tiles (below); the others are settled by pivots (``settle_by_pivots``), which compare each
+    pair once however many buckets it meets in, while a tile carries whole sets. Both are exact.
+
+    In a bucket cut into tiles the members of its largest
+    component (``big``) need not meet each other; the rest (``small``) meet each other and the
+    big ones. Both sides are dealt by hash to blocks of ``TILE``; a tile is a pair of small blocks
+    (one with itself included) or a small block with a big one, at most ``2 * TILE`` members, and
+    every pair that must be compared meets in exactly one tile. A big member goes to as many tiles
+    as there are small blocks, a small one to as many as there are blocks. A tile compares its
+    members as bit rows over the shingles that two of them hold, all pairs at once by a matrix
+    product, and gives out only the links that join two of its components (union-find, seeded
+    with the components already known): a spanning forest, fewer links than members.
+    """
+    live = unresolved(live, labels)
+    if live.isEmpty():
+        return labels
+    many = live.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > TILE)
+    small = live.join(many, "bucket", "left_anti").drop("comp")
+    hot = live.join(many.select("bucket"), "bucket", "left_semi")
+    if not hot.isEmpty():
+        labels = tiled(hot, sets, labels, percent)
+    return settle_by_pivots(small, sets, labels, percent)
+
+
+def tiled(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``settle`` for buckets of ``live`` (with ``comp``) by tiles."""
+    sizes = live.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("c"))
+    biggest = sizes.groupBy("bucket").agg(
+        F.max(F.struct("c", (-F.col("comp")).alias("minus"))).alias("top"), F.sum("c").alias("m")
+    )
+    shape = biggest.select(
+        "bucket",
+        (-F.col("top.minus")).alias("big"),
+        F.ceil((F.col("m") - F.col("top.c")) / TILE).cast("int").alias("small_blocks"),
+        F.ceil(F.col("top.c") / TILE).cast("int").alias("big_blocks"),
+    )
+    dealt = live.join(shape, "bucket").withColumn("is_big", F.col("comp") == F.col("big"))
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("is_big"), F.col("big_blocks")).otherwise(F.col("small_blocks")))
+    dealt = dealt.withColumn("own", own.cast("int"))
+    # A tile is (kind, lo, hi): kind 0 pairs small blocks lo <= hi, kind 1 small block lo with big block hi.
+    small_side = F.sequence(F.lit(0), F.col("small_blocks") - 1)
+    big_side = F.sequence(F.lit(0), F.col("big_blocks") - 1)
+    tile = lambda kind, lo, hi: F.struct(F.lit(kind).alias("kind"), lo.alias("lo"), hi.alias("hi"))
+    as_small = F.concat(
+        F.transform(small_side, lambda o: tile(0, F.least(F.col("own"), o), F.greatest(F.col("own"), o))),
+        F.transform(big_side, lambda o: tile(1, F.col("own"), o)),
+    )
+    as_big = F.transform(small_side, lambda o: tile(1, o, F.col("own")))
+    tiles = dealt.select(
+        "bucket", "rep", "comp",
+        # Blocks of the two sides are told apart inside a tile.
+        F.when(F.col("is_big"), -1 - F.col("own")).otherwise(F.col("own")).alias("block"),
+        F.explode(F.when(F.col("is_big"), as_big).otherwise(as_small)).alias("tile"),
+    ).select("bucket", "rep", "comp", "block", "tile.kind", "tile.lo", "tile.hi")
+
+    def link_tile(frame):
+        import pandas as pd
+
+        return pd.DataFrame(tile_links(frame, percent), columns=["a", "b"])
+
+    with_sets = tiles.join(sets, "rep")
+    found = stored(with_sets.groupBy("bucket", "kind", "lo", "hi").applyInPandas(link_tile, EDGES), "links")
+    if found.isEmpty():
+        return labels
+    known = labels.select(F.col("node").alias("u"), F.col("label").alias("v"))
+    return components(known.union(found.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
+
+def settle_by_pivots(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The components when all pairs that meet in a bucket of ``live`` and may be linked are too,
+    for buckets of at most ``TILE`` members.
 
     The smallest members of each component in a bucket are compared with the members of others,
     then leave the bucket; buckets of one component are done. The number of such pivots doubles,
@@ -290,6 +371,51 @@ def settle(live: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) ->
             labels = components(known.union(found.select(F.col("a").alias("u"), F.col("b").alias("v"))))
 
 
+
+
+def tile_links(frame, percent: int) -> list[tuple[int, int]]:
+    """Links of one tile (``rep, comp, block, kind, lo, hi, shingles``) that join two components."""
+    reps, comps = frame["rep"].to_numpy(np.int64), frame["comp"].to_numpy(np.int64)
+    blocks = frame["block"].to_numpy(np.int64)
+    sets = [np.asarray(x, np.int64) for x in frame["shingles"]]
+    k = len(reps)
+    if k < 2:
+        return []
+    sizes = np.fromiter(map(len, sets), np.int64, k)
+    every, owner = np.concatenate(sets), np.repeat(np.arange(k), sizes)
+    _, column, held = np.unique(every, return_inverse=True, return_counts=True)
+    shared = held[column] >= 2
+    owner, column = owner[shared], column[shared]
+    _, column = np.unique(column, return_inverse=True)
+    common = np.zeros((k, k), np.float64)
+    for first in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        part = (column >= first) & (column < first + COLUMNS)
+        bits = np.zeros((k, COLUMNS), np.float32)
+        bits[owner[part], column[part] - first] = 1.0
+        common += bits @ bits.T
+    union = sizes[:, None] + sizes[None, :] - common
+    alike = 100 * common >= percent * union
+    # A pair of one block is met in that block's own tile only.
+    kind, lo, hi = frame["kind"].iloc[0], frame["lo"].iloc[0], frame["hi"].iloc[0]
+    apart = blocks[:, None] != blocks[None, :] if kind or lo != hi else np.ones((k, k), bool)
+    a, b = np.nonzero(np.triu(alike & apart & (comps[:, None] != comps[None, :]), 1))
+    parent = {}
+
+    def root(x):
+        while parent.get(x, x) != x:
+            parent[x] = parent.get(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    links = []
+    for i, j in zip(a.tolist(), b.tolist()):
+        x, y = root(int(comps[i])), root(int(comps[j]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            links.append((int(reps[i]), int(reps[j])))
+    return links
+
+
 def unresolved(live: DataFrame, labels: DataFrame) -> DataFrame:
     """Of the members those in buckets of several components, with ``comp``."""
     named = live.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")

@@ -162,3 +162,37 @@ def test_few_neighbours(spark):
     assert fingerprints.compare_neighbours(docs.limit(0)).count() == 0
     tied = spark.createDataFrame([(5, "abcdef"), (5, "xyz"), (None, "q")], "doc_id long, text string")
     assert fingerprints.compare_neighbours(tied).count() == 3
+
+
+def test_dense_family_in_many_tiles(spark, monkeypatch):
+    # Small tiles, so that the family's buckets are cut into many of them.
+    monkeypatch.setattr(near_dup, "TILE", 40)
+    texts = [*families(5, 300, 60, 0.1), *families(6, 80, 30, 0.3)]
+    table = dict(enumerate(texts))
+    docs = spark.createDataFrame(list(table.items()), "doc_id long, text string").repartition(7)
+    found = {row.doc_id: row.component_id for row in near_dup.link(docs, LINKED).collect()}
+    _, component = linked_by_hand(table, LINKED.shingle, LINKED.percent)
+    assert found == component
+
+
+def test_a_tile_gives_a_spanning_forest():
+    import pandas as pd
+
+    draw = random.Random(3)
+    base = list(range(100))
+    sets = [sorted({x if draw.random() > 0.03 else 1000 + draw.randint(0, 10**6) for x in base}) for _ in range(300)]
+    frame = pd.DataFrame(
+        {"rep": range(300), "comp": range(300), "block": [i % 2 for i in range(300)], "kind": 0, "lo": 0, "hi": 1, "shingles": sets}
+    )
+    links = near_dup.tile_links(frame, 85)
+    assert len(links) < 300
+    assert all(a % 2 != b % 2 for a, b in links)
+    # The forest joins exactly what all cross-block pairs join.
+    pairs = []
+    for i in range(300):
+        for j in range(i + 1, 300):
+            if i % 2 != j % 2:
+                common = len(set(sets[i]) & set(sets[j]))
+                if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
+                    pairs.append((i, j))
+    assert components_by_hand(range(300), links) == components_by_hand(range(300), pairs)
