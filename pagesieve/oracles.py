@@ -287,6 +287,8 @@ ORACLES = {
         FROM pages""",
     "stream_incremental": MARKED,
     "stream_resume": MARKED,
+    "stream_frequencies": f"""WITH {WORDS}, {ALL_WORDS}
+        SELECT word, count(DISTINCT doc_id) AS df FROM all_words GROUP BY word""",
     "stage_counts": f"""WITH {FIELDS}, {RESULT}
         SELECT (SELECT count(*) FROM pages) AS n_rows, (SELECT count(*) FROM result) AS n_positives,
                (SELECT max(page_id) FROM pages) AS largest""",

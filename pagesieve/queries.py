@@ -58,7 +58,7 @@ from pagesieve.sources import files, lines, marks, pages, results
 from pagesieve.sources.params import TrainingParams, read_params
 from pagesieve.sources.tables import read_table
 from pagesieve.streaming.batch import run_above_mark
-from pagesieve.streaming.incremental import read_counts, run_incremental, stream_rows
+from pagesieve.streaming.incremental import read_counts, read_frequencies, run_frequencies, run_incremental, stream_rows
 
 STOP_WORDS = ["the", "and", "to", "in", "of", "der", "und", "la", "de", "les", "el", "en"]
 ALIAS = [("and", "个贷")]
@@ -773,6 +773,25 @@ def stage_counts(spark, folder):
     )
 
 
+def stream_frequencies(spark, folder):
+    """Document frequencies kept across the batches of a stream of documents, the last batch
+    replayed after a crash before its commit: equal to those over all documents at once."""
+    docs = documents(spark, folder, "text")
+    stage = Stage(spark, "frequencies")
+    # Rows arrive as several files, so that the stream sees several batches.
+    stage.arrive(docs.repartition(8, "doc_id"))
+    stream = stream_rows(spark, stage.rows, docs.schema, 2)
+    counted = f"{stage.root}/frequencies"
+
+    def words(batch):
+        return batch.select(letter_words(F.col("text")).alias("words"))
+
+    run_frequencies(stream, words, counted, f"{stage.root}/checkpoint")
+    stage.forget_last_commit()
+    run_frequencies(stream_rows(spark, stage.rows, docs.schema, 2), words, counted, f"{stage.root}/checkpoint")
+    return read_frequencies(spark, counted)
+
+
 def stream_resume(spark, folder):
     """One part arrives and is handled; the rest arrives later and is all the next run handles."""
     rows = page_rows(spark, folder)
@@ -904,6 +923,7 @@ QUERIES = {
     "stream_incremental": stream_incremental,
     "stream_resume": stream_resume,
     "stage_counts": stage_counts,
+    "stream_frequencies": stream_frequencies,
     "stream_replay": stream_replay,
     "stream_new_checkpoint": stream_new_checkpoint,
     "batch_incremental": batch_incremental,

@@ -85,3 +85,31 @@ def run_incremental(rows: DataFrame, job: Job, result: str | Sink, marks: str, c
         .start()
     )
     query.awaitTermination()
+
+
+def add_frequencies(words: DataFrame, batch_id: int, folder: str, column: str = "words", query: str = "stream") -> None:
+    """Write one batch's document frequencies (``word, df``: texts of the batch that hold the
+    word) as its own delta, replacing what a repeated batch wrote before."""
+    delta = words.select(F.explode(F.array_distinct(column)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    delta.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{query}-{batch_id}")
+
+
+def read_frequencies(spark: SparkSession, folder: str) -> DataFrame:
+    """``word, df`` over all batches so far: the deltas summed, combined before the shuffle."""
+    deltas = spark.read.schema("word string, df long").parquet(f"{folder.rstrip('/')}/*")
+    return deltas.groupBy("word").agg(F.sum("df").alias("df"))
+
+
+def run_frequencies(rows: DataFrame, words: Callable[[DataFrame], DataFrame], folder: str, checkpoint: str) -> None:
+    """Keep document frequencies of a stream up to date, a delta per batch (see ``add_frequencies``);
+    ``words`` turns a batch into its word lists. Everything there is handled, then it stops."""
+    spark = rows.sparkSession
+    query = (
+        rows.writeStream.foreachBatch(
+            lambda batch, batch_id: add_frequencies(words(batch), batch_id, folder, "words", query_id(spark, checkpoint))
+        )
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
