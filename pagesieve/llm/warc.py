@@ -294,6 +294,9 @@ def read_archives(archives: DataFrame, with_payload: bool = True) -> DataFrame:
 def archive_pages(pages: DataFrame) -> DataFrame:
     """Write ``pages`` (``page_id, url, html``) to archives in the shared folder; gives their list.
 
-    A null html is an empty payload, a null url ``urn:none``. Other columns are not read.
+    A null html is an empty payload, a null url ``urn:none``. Other columns are not read. Every
+    row is a record, whatever its ``page_id``: of equal payloads of at least ``REVISIT_BYTES`` the
+    rows with the largest id are responses (all of them where it repeats), the others, rows
+    without id included, revisit it. An empty table writes no archive.
     """
     return write_archives(with_targets(pages), new_folder(pages.sparkSession, "warc"))

@@ -122,3 +122,25 @@ def test_bad_records(change):
     assert warc.decode_record(record)[0] == 1
     with pytest.raises(warc.BadArchive):
         warc.decode_record(change(record))
+
+
+def test_archives_with_repeated_and_missing_ids(spark):
+    big, other = "x" * 1200, "other" * 300
+    rows = [(1, "u", big), (1, "u", big), (None, "u", big), (None, "v", "small"), (2, "u", other), (2, "u", other), (3, "u", big)]
+    found = warc.read_archives(warc.archive_pages(pages_of(spark, rows)), with_payload=False).collect()
+    got = sorted(((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in found), key=repr)
+    assert got == sorted(
+        [(1, 1200, "revisit", 3), (1, 1200, "revisit", 3), (None, 1200, "revisit", 3), (None, 5, "response", None),
+         (2, 1500, "response", None), (2, 1500, "response", None), (3, 1200, "response", None)],
+        key=repr,
+    )
+
+
+def test_a_very_long_url(spark):
+    url = "http://a.b.example.org/es/" + "x/" * 200_000 + "?q=#f"
+    table = spark.createDataFrame([(1, url), (2, "HTTP://ORG" + "/y" * 100_000)], "page_id long, url string")
+    rules = spark.createDataFrame(list(URL_RULES), url_rules.RULES)
+    rows = {row.page_id: row for row in url_rules.judge_urls(table, rules).collect()}
+    assert (rows[1].host, rows[1].rule, rows[1].verdict) == ("a.b.example.org", "example.org/es/", "block")
+    assert len(rows[1].path) == len(url) - len("http://a.b.example.org") - len("?q=#f")
+    assert (rows[2].rule, rows[2].verdict) == ("org/", "allow")
