@@ -106,8 +106,9 @@ def find_runs(df: DataFrame, words: str, keep: Sequence[str], min_length: int =
     def make():
         def work(values: pa.Array) -> list[pa.Array]:
             found, texts = [], []
-            for sequence in values.to_pylist():
-                sequence = sequence or []
+            # One row's words at a time: a batch of long texts as Python strings at once is large.
+            for item in values:
+                sequence = item.as_py() or []
                 names: dict = {}
                 ids = np.fromiter((names.setdefault(word, len(names)) for word in sequence), np.int64, len(sequence))
                 runs = runs_of(ids, min_length, exponent)
