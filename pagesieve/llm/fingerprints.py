@@ -268,7 +268,9 @@ def compare_neighbours(docs: DataFrame, key: str = "doc_id") -> DataFrame:
             yield ends(2, *held)
 
     rows = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(shuffle_partitions(spark), F.desc("key")).sortWithinPartitions(F.desc("key"), "text")
+    # Ranges by key and text, in the order of the sweep: rows that share a key, or have none, are
+    # cut between ranges by their texts rather than all falling into one.
+    ordered = rows.repartitionByRange(shuffle_partitions(spark), F.desc("key"), "text").sortWithinPartitions(F.desc("key"), "text")
     done = stored(ordered.mapInArrow(sweep, swept), "neighbours")
     columns = [field.name for field in JUDGED]
     inner = done.where("role = 0").select("key", *columns)

@@ -196,3 +196,13 @@ def test_a_tile_gives_a_spanning_forest():
                 if 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common):
                     pairs.append((i, j))
     assert components_by_hand(range(300), links) == components_by_hand(range(300), pairs)
+
+
+def test_a_hot_key_is_spread_over_ranges(spark):
+    # A third of the rows share one key: they must not all fall into one range.
+    rows = [(7, f"text number {i}") for i in range(300)] + [(1000 + i, f"other {i}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = fingerprints.compare_neighbours(docs).collect()
+    assert len(found) == 900 and sum(1 for r in found if r.doc_id == 7) == 300
+    hot = docs.select(F.col("doc_id").alias("key"), "text").repartitionByRange(4, F.desc("key"), "text")
+    assert max(hot.rdd.glom().map(len).collect()) < 300
