@@ -341,3 +341,12 @@ def test_learned_vectors_place_synonyms_near(spark):
         return float(first[a] @ first[b] / np.linalg.norm(first[a]) / np.linalg.norm(first[b]))
 
     assert cos("cat", "kitten") > cos("cat", "engine") + 0.2
+
+
+def test_training_tasks_grow_with_the_text(spark):
+    from pagesieve.operators.vocabulary import training_tasks
+
+    texts = spark.createDataFrame([(["a"] * 7,), (["b"] * 6,), ([],), (None,)], "words array<string>")
+    assert training_tasks(texts, "words", 2, task_words=7) == 2
+    assert training_tasks(texts, "words", 2, task_words=3) == 5
+    assert training_tasks(texts.limit(0), "words", 4) == 4
