@@ -81,6 +81,26 @@ def test_top_words(spark):
     assert found == expected
 
 
+@pytest.mark.parametrize("common_words", [1, 5, 1000])
+def test_top_words_leave_before_the_shuffle(spark, common_words):
+    from pagesieve.operators.tfidf import candidates
+
+    random.seed(8)
+    names = [f"w{at}" for at in range(300)]
+    weights = [1 / (1 + at) for at in range(300)]
+    rows = [" ".join(random.choices(names, weights, k=random.randint(0, 200))) for _ in range(80)]
+    rows = [row for row in rows if row]
+    df = texts(spark, rows)
+    found = lists_of(top_words(df, "id", "words", topn=5, common_words=common_words))
+    assert found == ranked_by_hand(rows, 5)
+    known = spark.createDataFrame([("w0", 70, 90), ("w1", 2, 90)], "word string, df long, n_docs long")
+    found = lists_of(top_words(df, "id", "words", known, topn=5, common_words=common_words))
+    assert found == ranked_by_hand(rows, 5, ({"w0": 70, "w1": 2}, 90))
+    if common_words == 1000:  # every count known: hardly more than the best is left
+        left = candidates(df, "id", "words", document_frequencies(df, "words"), 5, False, common_words)
+        assert left.count() < sum(len(set(row.split())) for row in rows) / 3
+
+
 def test_top_words_by_known_frequencies(spark):
     known = spark.createDataFrame([("a", 9, 10), ("b", 1, 10)], "word string, df long, n_docs long")
     rows = ["a b c", "a a b", "c d"]
