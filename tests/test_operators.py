@@ -279,6 +279,35 @@ def test_pooling(spark):
     assert list(found[0]["mean_vector"]) == pytest.approx([7 / 3, -10 / 3])
 
 
+@pytest.mark.parametrize("common_bytes", [1, 24, 1 << 20])
+def test_pooling_by_common_and_rare_words(spark, common_bytes):
+    """The same means and maxima wherever the vectors come from, and rows of one key as one."""
+    import numpy as np
+
+    from pagesieve.operators.pooling import window_pool
+
+    random.seed(4)
+    table = {at: [random.uniform(-1, 1) for _ in range(3)] for at in range(1, 30)}
+    vectors = spark.createDataFrame([*table.items(), (30, None)], "id long, vector array<double>")
+    rows = [(at // 2, [random.randint(0, 35) for _ in range(random.randint(0, 12))]) for at in range(60)] + [(None, [1, 2])]
+    df = spark.createDataFrame(rows, "id long, ids array<long>")
+    expected, windows = {}, []
+    for key, ids in rows:
+        held = [table[at] for at in ids if at in table]
+        if held:
+            expected.setdefault(key, []).extend(held)
+            pairs = [np.mean(held[at : at + 2], axis=0) for at in range(len(held) - 1)] or [np.mean(held, axis=0)]
+            windows.append((str(key), *np.max(pairs, axis=0).round(9)))
+    found = pool_vectors(df, "id", "ids", vectors, common_bytes=common_bytes).collect()
+    assert {row["id"] for row in found} == set(expected) and len(found) == len(expected)
+    for row in found:
+        assert np.allclose(row["max_vector"].toArray(), np.max(expected[row["id"]], axis=0))
+        assert np.allclose(row["mean_vector"].toArray(), np.mean(expected[row["id"]], axis=0))
+    pooled = window_pool(df, "id", "ids", vectors, (2,), common_bytes=common_bytes).collect()
+    assert sorted((str(row["id"]), *np.round(row["pooled"], 9)) for row in pooled) == sorted(windows)
+    assert window_pool(df, "id", "ids", vectors.limit(0), (2,)).isEmpty()
+
+
 def test_runs(spark):
     found = runs_of(texts(spark, ["a b c"]), "id", "words", [1, 3]).collect()
     assert sorted((row["size"], row["place"], row["gram"]) for row in found) == [
