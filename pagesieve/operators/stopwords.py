@@ -40,21 +40,21 @@ def drop_stop_words(
 def _drop_by_join(
     df: DataFrame, key: str, name: str, stop_words: DataFrame, piece_rows: int
 ) -> DataFrame:
+    """Only the stop words that a row holds come back to it; its other words stay where they are."""
     order = df.columns
-    placed = df.select(key, F.posexplode(name).alias("place", "word"))
-    left = skew_join(
-        placed,
+    distinct = df.select(key, F.explode(F.array_distinct(name)).alias("word")).where(F.col("word").isNotNull())
+    held = skew_join(
+        distinct,
         stop_words.distinct(),
         "word",
-        "left_anti",
-        spread=[F.col(key), F.col("place")],
+        "left_semi",
+        spread=[F.col(key)],
         piece_rows=piece_rows,
     )
-    pairs = F.sort_array(F.collect_list(F.struct("place", "word")))
-    lists = left.groupBy(key).agg(F.transform(pairs, lambda pair: pair["word"]).alias("kept"))
-    empty = F.when(F.col(name).isNotNull(), F.array().cast("array<string>"))
+    lists = held.groupBy(key).agg(F.collect_list("word").alias("_held"))
+    others = F.filter(name, lambda word: word.isNull() | ~F.array_contains("_held", word))
     return (
         df.join(lists, key, "left")
-        .withColumn(name, F.coalesce("kept", empty))
+        .withColumn(name, F.when(F.col("_held").isNull(), F.col(name)).otherwise(others))
         .select(*order)
     )
