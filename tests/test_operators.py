@@ -270,6 +270,27 @@ def test_encoding_of_records_without_words(spark):
     assert {row["id"]: row["text"] for row in found} == {0: [0, 0], 1: [1, 0]}
 
 
+def test_blocks_of_texts_are_bounded():
+    """Pieces and words leave a task by blocks of characters, however many rows a batch has."""
+    import pyarrow as pa
+
+    from pagesieve.operators.segment import blocks
+
+    assert list(blocks(pa.array([3, 4, 9, 1, 1, 0, 6]), 7)) == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    assert list(blocks(pa.array([], pa.int32()), 7)) == []
+
+
+def test_segment_keeps_other_columns(spark, monkeypatch):
+    from pagesieve.operators import segment as module
+
+    monkeypatch.setattr(module, "BLOCK", 4)
+    dictionary = spark.createDataFrame([("ab", 5), ("c", 3)], "word string, freq long")
+    rows = [(at, "abc" * (at % 4) or None, at * 0.5) for at in range(30)]
+    df = spark.createDataFrame(rows, "id long, text string, x double")
+    found = {row["id"]: (row["text"], row["x"], row["words"]) for row in segment(df, "id", {"text": "words"}, dictionary).collect()}
+    assert found == {at: (text, x, ["ab", "c"] * (at % 4)) for at, text, x in rows}
+
+
 def test_pooling(spark):
     vectors = spark.createDataFrame([(1, [1.0, -2.0]), (2, [3.0, -4.0])], "id long, vector array<float>")
     df = spark.createDataFrame([(7, [1, 2, 2, 0, 9]), (8, [0, 0])], "id long, ids array<long>")
@@ -392,6 +413,14 @@ def test_learned_vectors_place_synonyms_near(spark):
     assert cos("cat", "kitten") > cos("cat", "engine") + 0.2
 
 
+def test_stop_words_by_join_send_back_only_what_a_row_holds(spark):
+    rows = [(1, ["a", None, "b", "a", "c", "b"]), (2, None), (3, []), (4, ["c", None]), (5, ["a"])]
+    df = spark.createDataFrame(rows, "id long, words array<string>")
+    kept = drop_stop_words(df, "id", ["words"], words_frame(spark, ["a", "b"]), in_row_words=0, piece_rows=1)
+    assert {row["id"]: row["words"] for row in kept.collect()} == {1: [None, "c"], 2: None, 3: [], 4: ["c", None], 5: []}
+    assert "posexplode" not in kept._jdf.queryExecution().toString().lower()
+
+
 def test_training_tasks_grow_with_the_text(spark):
     from pagesieve.operators.vocabulary import training_tasks
 
