@@ -20,7 +20,6 @@ from pagesieve.functions.text import (
 from pagesieve.operators.segment import segment
 from pagesieve.operators.stopwords import drop_stop_words
 from pagesieve.operators.tfidf import TOP_WORDS, top_words, word_lists
-from pagesieve.session import stored
 
 # Adds a word list for each text: columns maps the text's name to that of the list.
 Splitter = Callable[[DataFrame, str, dict[str, str]], DataFrame]
@@ -52,7 +51,7 @@ class Cleaning:
     """How texts become words. The defaults are those for Han text."""
 
     splitter: Splitter
-    #: Cutting a text costs more than storing its words, so no text is cut twice.
+    #: The splitter joins, and so reads its rows more than once; else it works inside a row.
     costly: bool = True
     keep: str | None = HAN
     aliases: Iterable[tuple[str, str]] = ALIASES
@@ -81,23 +80,24 @@ def clean_text(
         text = replace_aliases(text, how.aliases) if aliased else text
         return keep_characters(text, how.keep) if how.keep else text
 
-    meta = concat_meta(F.col("title"), F.col("keywords"), F.col("description"))
-    rows = df.withColumn("meta_text", prepared(meta, how.alias_meta))
-    rows = how.splitter(rows.drop("corpus"), key, {"meta_text": "meta_words"}).drop("meta_text")
+    def with_meta(rows):
+        meta = concat_meta(F.col("title"), F.col("keywords"), F.col("description"))
+        rows = rows.withColumn("meta_text", prepared(meta, how.alias_meta))
+        return how.splitter(rows, key, {"meta_text": "meta_words"}).drop("meta_text")
 
     body = df.select(key, prepared(F.col("corpus"), True).alias("body_text"))
     body = how.splitter(body, key, {"body_text": "body_words"}).select(
         key,
         F.filter("body_words", lambda word: F.length(word) >= how.min_tag_length).alias("body_words"),
     )
-    if frequencies is None and how.costly:  # two passes: document counts, then ranks
-        body = stored(body, "body-words")
     ranked = top_words(body, key, "body_words", frequencies, how.topn)
     tags = word_lists(ranked, key, "rank", "tag_words")
-    joined = rows.join(tags, key, "left").withColumn(
-        "tag_words", F.coalesce("tag_words", F.array().cast("array<string>"))
-    )
-    return drop_stop_words(joined, key, ["tag_words", "meta_words"], stop_words)
+    # Texts are shuffled rather than their word lists, which are more than twice as large.
+    rows = df.drop("corpus")
+    joined = with_meta(rows).join(tags, key, "left") if how.costly else with_meta(rows.join(tags, key, "left"))
+    joined = joined.withColumn("tag_words", F.coalesce("tag_words", F.array().cast("array<string>")))
+    names = [*(name for name in joined.columns if name not in ("tag_words", "meta_words")), "meta_words", "tag_words"]
+    return drop_stop_words(joined.select(*names), key, ["tag_words", "meta_words"], stop_words)
 
 
 def joined_text(df: DataFrame, aliases: Iterable[tuple[str, str]] = ALIASES) -> DataFrame:
