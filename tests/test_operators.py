@@ -101,6 +101,29 @@ def test_top_words_leave_before_the_shuffle(spark, common_words):
         assert left.count() < sum(len(set(row.split())) for row in rows) / 3
 
 
+def test_top_words_split_each_text_once(spark):
+    rows = ["a b c", "a a b", "", "c d"]
+    made = spark.sparkContext.accumulator(0)
+
+    def split(text):
+        made.add(1)
+        return text.split()
+
+    df = spark.createDataFrame(list(enumerate(rows)), "id long, text string")
+    df = df.select("id", F.udf(split, "array<string>")("text").alias("words"))
+    top_words(df, "id", "words").collect()
+    assert made.value == len(rows)
+
+
+def test_bags_hold_distinct_words_and_the_length_of_the_list(spark):
+    from pagesieve.operators.tfidf import word_bags
+
+    rows = [(1, ["b", None, "a", "b"]), (2, []), (3, None), (None, ["c"])]
+    df = spark.createDataFrame(rows, "id long, words array<string>")
+    found = {row["id"]: (row["n_words"], dict(zip(row["words"], row["tf"], strict=True))) for row in word_bags(df, "id", "words").collect()}
+    assert found == {1: (4, {"a": 1, "b": 2}), 2: (0, {}), 3: (0, {}), None: (1, {"c": 1})}
+
+
 def test_top_words_by_known_frequencies(spark):
     known = spark.createDataFrame([("a", 9, 10), ("b", 1, 10)], "word string, df long, n_docs long")
     rows = ["a b c", "a a b", "c d"]
@@ -223,6 +246,20 @@ def test_clean_han_pages(spark):
     assert first["meta_words"] == "网贷 理财 平台"
 
 
+def test_meta_words_are_made_where_they_stay(spark):
+    seen = []
+
+    def split(df, key, columns):
+        seen.append((set(columns), "tag_words" in df.columns))
+        return letter_splitter()(df, key, columns)
+
+    df = spark.createDataFrame([(1, "aa ", "bb ", "cc", "dd dd")], "id long, title string, keywords string, description string, corpus string")
+    how = Cleaning(split, costly=False, keep=None, aliases=())
+    row = clean_text(df, "id", words_frame(spark, ["bb"]), how).first()
+    assert (row["tag_words"], row["meta_words"]) == (["dd"], ["aa", "cc"])
+    assert ({"meta_text"}, True) in seen  # no word list of theirs is shuffled
+
+
 def test_no_further_word_moves_up(spark):
     df = spark.createDataFrame([(1, "", "", "", "aa aa aa bb bb cc")], "id long, title string, keywords string, description string, corpus string")
     how = Cleaning(letter_splitter(), keep=None, aliases=(), topn=2)
