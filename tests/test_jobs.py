@@ -377,3 +377,17 @@ def test_batch_counts_in_one_pass(spark):
     counts = sorted((r["batch"], r["n_rows"], r["n_positives"], r["largest"]) for r in read_counts(spark, saved).collect())
     assert counts == [(0, 3, 2, 3), (1, 0, 0, None)]
     assert marks.read_mark(spark, saved) == 3
+
+
+def test_training_reads_hashed_rows_and_gives_the_same_model(spark, monkeypatch):
+    kept = []
+    stored = training.stored
+    monkeypatch.setattr(training, "stored", lambda df, name: kept.append(df.columns) or stored(df, name))
+    rows = [([f"a{at % 3}", "b"], [f"c{at % 5}"], at % 2) for at in range(40)]
+    df = spark.createDataFrame(rows, "tag_words array<string>, meta_words array<string>, label int")
+    params = TrainingParams([1, 2], 0.01, 5, 1 << 8)
+    model = training.train(df, params)
+    assert kept == [["tf", "label"]]
+    whole = training.classifier(params).fit(df)
+    assert model.stages[-1].coefficients.toArray() == pytest.approx(whole.stages[-1].coefficients.toArray(), abs=1e-9)
+    assert [type(stage) for stage in model.stages] == [type(stage) for stage in whole.stages]
