@@ -124,6 +124,37 @@ def test_bags_hold_distinct_words_and_the_length_of_the_list(spark):
     assert found == {1: (4, {"a": 1, "b": 2}), 2: (0, {}), 3: (0, {}), None: (1, {"c": 1})}
 
 
+def test_blocks_name_a_word_once_for_all_their_texts(spark):
+    import numpy as np
+
+    from pagesieve.operators.tfidf import block_frequencies, word_blocks
+
+    rows = [(1, ["b", None, "a", "b"]), (2, []), (3, None), (None, ["c", "a"])]
+    df = spark.createDataFrame(rows, "id long, words array<string>").coalesce(1)
+    (block,) = word_blocks(df, "id", "words").collect()
+    assert block["keys"] == [1, 2, 3, None] and block["n_words"] == [4, 0, 0, 2] and block["sizes"] == [2, 0, 0, 2]
+    assert sorted(map(tuple, block["words"])) == [("a", 2), ("b", 1), ("c", 1)]
+    code, tf = (np.frombuffer(block[name], "<i4").tolist() for name in ("codes", "tf"))
+    found = [(block["words"][at]["word"], n) for at, n in zip(code, tf, strict=True)]
+    assert sorted(found[:2]) == [("a", 1), ("b", 2)] and sorted(found[2:]) == [("a", 1), ("c", 1)]
+    counts = block_frequencies(word_blocks(df, "id", "words"))
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, document_frequencies(df, "words").collect()))
+
+
+@pytest.mark.parametrize("common_words", [1, 30, 1000])
+def test_top_words_over_several_blocks(spark, common_words):
+    from pagesieve.operators.tfidf import word_blocks
+
+    random.seed(12)
+    names = [f"w{at}" for at in range(200)]
+    rows = [" ".join(random.choices(names[at // 20 :], k=random.randint(1, 12))) for at in range(2500)]
+    df = texts(spark, rows).coalesce(1)
+    blocks = word_blocks(df, "id", "words").collect()
+    assert len(blocks) > 1  # words are named once a block, not once a text
+    assert sum(len(block["words"]) for block in blocks) < sum(sum(block["sizes"]) for block in blocks) / 10
+    assert lists_of(top_words(df, "id", "words", topn=5, common_words=common_words)) == ranked_by_hand(rows, 5)
+
+
 def test_top_words_by_known_frequencies(spark):
     known = spark.createDataFrame([("a", 9, 10), ("b", 1, 10)], "word string, df long, n_docs long")
     rows = ["a b c", "a a b", "c d"]
@@ -373,6 +404,21 @@ def test_runs(spark):
     ]
 
 
+def test_runs_are_cut_one_at_a_time(spark):
+    rows = [(1, ["a", "b", None, "c"]), (2, ["x"]), (3, []), (4, None), (None, ["y", "z"])]
+    df = spark.createDataFrame(rows, "id long, words array<string>")
+    runs = runs_of(df, "id", "words", [1, 2, 3])
+    expected = [
+        (key, size, at, " ".join(word for word in words[at : at + size] if word is not None))
+        for key, words in rows
+        for size in (1, 2, 3)
+        for at in range(len(words or []) - size + 1)
+    ]
+    assert sorted(map(tuple, runs.collect()), key=str) == sorted(expected, key=str)
+    # No list of all runs, made by interpreted lambdas, before they are told apart.
+    assert "transform(" not in runs._jdf.queryExecution().toString().lower()
+
+
 # -- metrics
 
 
