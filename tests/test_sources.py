@@ -148,3 +148,18 @@ def test_archive(spark, tmp_path):
         results.write_archive(rows.where("html is not null"), str(tmp_path / "archive"), run)
     back = spark.read.parquet(str(tmp_path / "archive" / "dt=2024-01-31")).collect()
     assert [(row["dst"], row["html"]) for row in back] == [("root/2024-01-31/1.html", "x")] * 2
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    from pagesieve.session import CLEANUP, stored
+
+    def shuffles():
+        tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+        return tracker.shuffleStatuses().size()
+
+    before = shuffles()
+    counts = stored(spark.range(1000).repartition(4, "id").groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert shuffles() <= before and spark.conf.get(CLEANUP) == "false"
+    assert counts.agg(F.sum("count")).first()[0] == 1000
