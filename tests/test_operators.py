@@ -511,3 +511,44 @@ def test_training_tasks_grow_with_the_text(spark):
     assert training_tasks(texts, "words", 2, task_words=7) == 2
     assert training_tasks(texts, "words", 2, task_words=3) == 5
     assert training_tasks(texts.limit(0), "words", 4) == 4
+
+
+@pytest.mark.parametrize("common_words", [0, 1, 3, 100])
+def test_segment_by_common_and_rare_words(spark, common_words):
+    """The same cuts wherever a word's weight comes from: a rare word may begin like a common one,
+    be its beginning or hold it, and is forgotten with its text."""
+    random.seed(11)
+    dictionary = {"a": 9, "ab": 50, "abc": 3, "abcd": 40, "bc": 2, "cd": 30, "d": 4, "dd": 1, "网": 20, "网贷b": 2}
+    floor = -math.log(sum(dictionary.values()))
+    weights = {word: math.log(freq) + floor for word, freq in dictionary.items()}
+    rows = [(at, "".join(random.choices("abcd网贷", k=random.randint(0, 9)))) for at in range(60)] + [(100, None)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    table = spark.createDataFrame(list(dictionary.items()), "word string, freq long")
+    for part_pieces in (1 << 20, 7):
+        made = segment(df, "id", {"text": "words"}, table, common_words=common_words, part_pieces=part_pieces)
+        found = {row["id"]: row["words"] for row in made.collect()}
+        assert found == {at: cut(text or "", with_beginnings(weights), floor) for at, text in rows}
+
+
+def test_common_words_are_weighed_where_they_are(spark):
+    from pagesieve.operators.segment import most_frequent, weigh_common
+
+    table = spark.createDataFrame([("a", 9), ("b", 5), ("c", 5), ("d", 1)], "word string, freq long")
+    common = most_frequent(table, 2)
+    assert [tuple(row) for row in common.orderBy("word").collect()] == [("a", 9), ("b", 5)]
+    rows = [(1, ["a", "c", "a", "b", None, "c"]), (2, None), (3, []), (4, ["d"]), (5, ["b"])]
+    df = spark.createDataFrame(rows, "id long, words array<string>").coalesce(1)
+    weighed = weigh_common(df, "words", common.select("word", (F.col("freq") * 1.0).alias("weight")))
+    assert {row["id"]: (row["words"], row["common_weight"]) for row in weighed.collect()} == {
+        1: (["c", None, "c"], 23.0), 2: ([], 0.0), 3: ([], 0.0), 4: (["d"], 0.0), 5: ([], 5.0),
+    }
+    assert weigh_common(df, "words", common.limit(0).select("word", F.lit(1.0).alias("weight"))).agg(F.sum("common_weight")).first()[0] == 0
+
+
+def test_texts_cut_by_the_corpus_shuffle_only_their_rare_words(spark):
+    """What is exploded and joined word by word are the words that no task has at hand."""
+    from pagesieve import queries
+
+    table = queries.cut_weights(spark, "/root/testdata/sf0.001")
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "common_weight" in plan and table.where("rebuilt and weight > spaced_weight - 1e-6").count() > 150
