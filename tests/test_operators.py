@@ -436,6 +436,29 @@ def test_metrics(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "metrics")).first()["accuracy"] == 0.5
 
 
+def test_pooling_collects_no_lists_of_vectors(spark):
+    """A text's vectors, and rows that share a key, stream through a task over many batches."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    table = {at: [float(x) for x in rng.integers(-9, 9, 3)] for at in range(1, 2501)}
+    rows = [("long", list(range(1, 2501))), ("none", [0, 9999]), ("no list", None)]
+    rows += [(None if at % 2 else "often", [1 + at, 9999, 1 + at]) for at in range(2400)]
+    df = spark.createDataFrame(rows, "id string, ids array<long>").repartition(3)
+    vectors = spark.createDataFrame(list(table.items()), "id long, vector array<double>")
+    pooled = pool_vectors(df, "id", "ids", vectors, common_bytes=48)
+    plan = pooled._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("MapInArrow")[0] and "collect_list" not in plan
+    expected = {}
+    for key, ids in rows:
+        expected.setdefault(key, []).extend(table[word] for word in ids or [] if word in table)
+    got = {row["id"]: row for row in pooled.collect()}
+    assert set(got) == {key for key, held in expected.items() if held}
+    for key, row in got.items():
+        assert np.allclose(row["max_vector"].toArray(), np.max(expected[key], axis=0))
+        assert np.allclose(row["mean_vector"].toArray(), np.mean(expected[key], axis=0))
+
+
 def test_window_pool_against_brute_force(spark):
     import numpy as np
 
